@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import os
+import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
+
+import pytest
+from pyspark.sql import DataFrame, SparkSession
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+from tripmart.session import build_session  # noqa: E402
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def spark() -> Iterator[SparkSession]:
+    session = build_session(
+        "tripmart-tests",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "2000",
+        },
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder(tmp_path: Path) -> str:
+    return str(tmp_path)
+
+
+@contextmanager
+def session_zone(spark: SparkSession, zone: str) -> Iterator[None]:
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def rows(df: DataFrame) -> list[tuple]:
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def land_file(df: DataFrame, folder: str, name: str) -> None:
+    """A landed object of the given name, as one file in a folder."""
+    df.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}")

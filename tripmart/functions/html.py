@@ -6,6 +6,8 @@ where the next anchor begins, and the named entities below and numeric reference
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,15 +41,28 @@ def _character(reference: Column) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
 
 
-def decode_entities(text: Column) -> Column:
-    for entity, character in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(character))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _decode_references(text: Column) -> Column:
     references = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)))
-    decoded = F.aggregate(
+    return F.aggregate(
         references, text, lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")), _character(n))
     )
-    text = F.when(text.contains("&#"), decoded).otherwise(text)
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+
+
+def _decode(text: Column) -> Column:
+    named = text
+    for entity, character in ENTITIES.items():
+        named = F.replace(named, F.lit(entity), F.lit(character))
+    numeric = _let(named, lambda t: F.when(t.contains("&#"), _decode_references(t)).otherwise(t))
+    return F.replace(numeric, F.lit("&amp;"), F.lit("&"))
+
+
+def decode_entities(text: Column) -> Column:
+    return _let(text, lambda t: F.when(t.contains("&"), _decode(t)).otherwise(t))
 
 
 def strip(text: Column) -> Column:
@@ -78,7 +93,3 @@ def anchor_text(anchor: Column) -> Column:
 def text_pieces(html: Column) -> Column:
     """All text of a page as one string, pieces of different elements kept apart."""
     return decode_entities(F.regexp_replace(html, TEXT_BREAK, BREAK))
-
-
-def contains_ignoring_case(text: Column, name: Column) -> Column:
-    return F.contains(F.lower(text), F.lower(name))

@@ -1,7 +1,8 @@
 """What the path of a landed object says about it.
 
 A landed object is a file ``<zone>/<a>_<b>/<a>_<b>_<period>.parquet``, or a folder of that name
-which a Spark job wrote (also as a partition folder, ``object=<name>``).
+which a Spark job wrote (also as a partition folder, ``object=<name>``). The expressions are
+evaluated for every row read, so they cut strings and use no regular expressions.
 """
 
 from __future__ import annotations
@@ -12,16 +13,19 @@ from pyspark.sql import functions as F
 
 def object_path(file_path: Column) -> Column:
     """Path of the object which a data file belongs to."""
-    return F.regexp_replace(file_path, r"(\.parquet)/[^/]+$", "$1")
+    in_folder = F.contains(file_path, F.lit(".parquet/"))
+    folder = F.concat(F.substring_index(file_path, ".parquet/", 1), F.lit(".parquet"))
+    return F.when(in_folder, folder).otherwise(file_path)
 
 
 def object_name(path: Column) -> Column:
-    return F.regexp_replace(F.substring_index(path, "/", -1), r"^[^=]*=", "")
+    return F.substring_index(F.substring_index(path, "/", -1), "=", -1)
 
 
 def source_date(path: Column) -> Column:
-    """Period of the object: last ``_`` token before the file suffix."""
-    return F.regexp_extract(path, r"([^._/=]*)\.[^./]*$", 1)
+    """Period of the object: last ``_`` token of its name before the suffix."""
+    stem = F.substring_index(F.substring_index(object_name(path), ".", -2), ".", 1)
+    return F.substring_index(stem, "_", -1)
 
 
 def dataset(name: Column) -> Column:
@@ -41,4 +45,4 @@ def target_path(root: str, name: Column) -> Column:
 
 def plain_scheme(path: Column) -> Column:
     """``s3a://`` as ``s3://``."""
-    return F.regexp_replace(path, r"^s3a://", "s3://")
+    return F.regexp_replace(path, "^s3a://", "s3://")

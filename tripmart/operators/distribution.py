@@ -25,51 +25,62 @@ def _sketch(value: str, probs: list[float]) -> Column:
     return F.percentile_approx(value, probs, ACCURACY)
 
 
+def _same_cell(df: DataFrame) -> tuple[DataFrame, Column]:
+    """The other side of a join on (grp, cell), and the join condition; grp may be NULL."""
+    other = df.withColumnsRenamed({"grp": "o_grp", "cell": "o_cell"})
+    return other, F.col("grp").eqNullSafe(F.col("o_grp")) & (F.col("cell") == F.col("o_cell"))
+
+
+def _ranks_inside() -> Column:
+    return F.filter("ranks", lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n")))
+
+
 def _cells(rows: DataFrame, targets: DataFrame, n_splitters: int) -> DataFrame:
     """Count the values of each cell between its splitters and keep the parts that hold a wanted rank.
 
-    rows: grp, cell, value, n.  targets: grp, total, cell, below, ranks, splitters.
+    rows: grp, cell, value, n.  targets: grp, cell, total, below, ranks, splitters.
     Returns the smaller cells with their own below and ranks, and their least and greatest value.
     """
-    t = targets.withColumnsRenamed({"grp": "t_grp", "cell": "t_cell"})
+    cuts, same = _same_cell(targets.select("grp", "cell", "splitters"))
     bucket = reduce(add, [(F.col("value") >= F.col("splitters")[i]).cast("int") for i in range(n_splitters)])
     counts = (
-        rows.join(t, F.col("grp").eqNullSafe(F.col("t_grp")) & (F.col("cell") == F.col("t_cell")))
-        .withColumn("bucket", bucket)
-        .groupBy("grp", "total", "cell", "bucket")
-        .agg(
-            F.sum("n").alias("n"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-            F.first("below").alias("below"),
-            F.first("ranks").alias("ranks"),
-        )
+        rows.join(cuts, same)
+        .groupBy("grp", "cell", bucket.alias("bucket"))
+        .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
     earlier = Window.partitionBy("grp", "cell").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn("below", F.col("below") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    wanted, same = _same_cell(targets.select("grp", "cell", "total", "below", "ranks"))
     return (
-        placed.withColumn("ranks", _ranks_inside())
+        counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        .join(wanted, same)
+        .withColumn("below", F.col("below") + F.col("before"))
+        .withColumn("ranks", _ranks_inside())
         .filter(F.size("ranks") > 0)
         .select(
-            "grp", "total", F.concat_ws("/", "cell", F.col("bucket").cast("string")).alias("cell"),
-            "below", "ranks", "low", "high",
+            "grp", F.concat_ws("/", "cell", F.col("bucket").cast("string")).alias("cell"),
+            "total", "below", "ranks", "low", "high",
         )
     )
 
 
-def _ranks_inside() -> Column:
-    below, n = F.col("below"), F.col("n")
-    return F.filter("ranks", lambda r: (r >= below) & (r < below + n))
-
-
 def _inside(rows: DataFrame, cells: DataFrame) -> DataFrame:
     """The distinct values in the cells with their counts: grp, cell, value, n."""
     c = cells.select(F.col("grp").alias("c_grp"), F.col("cell").alias("c_cell"), "low", "high")
     inside = F.col("grp").eqNullSafe(F.col("c_grp")) & F.col("value").between(F.col("low"), F.col("high"))
+    return rows.join(c, inside).groupBy("grp", F.col("c_cell").alias("cell"), "value").agg(F.sum("n").alias("n"))
+
+
+def _at_ranks(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """The values at the wanted ranks, by sorting the distinct values of each cell."""
+    earlier = Window.partitionBy("grp", "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    wanted, same = _same_cell(targets.select("grp", "cell", "total", "below", "ranks"))
     return (
-        rows.join(c, inside)
-        .groupBy("grp", F.col("c_cell").alias("cell"), "value")
+        rows.groupBy("grp", "cell", "value")
         .agg(F.sum("n").alias("n"))
+        .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        .join(wanted, same)
+        .withColumn("below", F.col("below") + F.col("before"))
+        .select("grp", "total", F.explode(_ranks_inside()).alias("rank"), "value")
     )
 
 
@@ -78,47 +89,39 @@ def quantiles(
 ) -> DataFrame:
     """Exact interpolated quantiles per group: the group, n and the array ``q``; NULLs are ignored.
 
-    ``percentile`` keeps every distinct value of a group in one task's memory. Here a mergeable
-    sketch only proposes where to cut; the exact counts between the cuts then tell which part holds
-    a wanted rank, however well or badly the sketch did. What is left of a group is a narrow part
-    around each rank, already counted per distinct value. A part with more distinct values than one
-    task should sort is cut again.
+    ``percentile`` keeps every distinct value of a group in one task's memory. Here a group too
+    large for one task is cut first: a mergeable sketch proposes where, and the exact counts between
+    the cuts tell which part holds a wanted rank, however well or badly the sketch did. What is left
+    is a narrow part around each rank, counted per distinct value, and cut again while it is too
+    large.
     """
     rows = df.select(F.col(group).alias("grp"), F.col(value).cast("double").alias("value")).filter("value IS NOT NULL")
     rows = rows.withColumn("cell", F.lit("")).withColumn("n", F.lit(1).cast("bigint"))
 
     margin = 4 / ACCURACY
     cuts = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
-    ranks = F.array_distinct(
-        F.array(*[f(_rank(p, F.col("total"))).cast("bigint") for p in probs for f in (F.floor, F.ceil)])
-    )
-    head = materialize(
-        rows.groupBy("grp", "cell").agg(F.count("*").alias("total"), _sketch("value", cuts).alias("splitters")),
+    ranks = F.array(*[f(_rank(p, F.col("total"))).cast("bigint") for p in probs for f in (F.floor, F.ceil)])
+    head = rows.groupBy("grp", "cell").agg(F.count("*").alias("total"), _sketch("value", cuts).alias("splitters"))
+    targets = materialize(
+        head.select(
+            "*", F.col("total").alias("size"), F.lit(0).cast("bigint").alias("below"), F.array_distinct(ranks).alias("ranks")
+        ),
         "quantile-cuts",
     )
-    targets = head.withColumn("below", F.lit(0).cast("bigint")).withColumn("ranks", ranks)
     found = []
-    n_splitters = len(cuts)
-    while True:
-        cells = materialize(_cells(rows, targets, n_splitters), "quantile-cells")
-        found.append(cells.filter("low = high").select("grp", "total", F.explode("ranks").alias("rank"), F.col("low").alias("value")))
-        cells = cells.filter("low < high")
-        if cells.isEmpty():
-            break
+    while (targets.agg(F.max("size")).first()[0] or 0) > values_per_task:
+        cells = materialize(_cells(rows, targets, len(cuts)), "quantile-cells")
+        one_value = F.col("low") == F.col("high")
+        found.append(
+            cells.filter(one_value).select("grp", "total", F.explode("ranks").alias("rank"), F.col("low").alias("value"))
+        )
+        cells = cells.filter(~one_value)
         rows = materialize(_inside(rows, cells), "quantile-values")
-        largest = rows.groupBy("grp", "cell").count().agg(F.max("count")).first()[0]
-        c = cells.select(F.col("grp").alias("c_grp"), F.col("cell").alias("c_cell"), "total", "below", "ranks")
-        same_cell = F.col("grp").eqNullSafe(F.col("c_grp")) & (F.col("cell") == F.col("c_cell"))
-        if largest <= values_per_task:
-            earlier = Window.partitionBy("grp", "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-            placed = rows.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(c, same_cell)
-            placed = placed.withColumn("below", F.col("below") + F.col("before"))
-            found.append(placed.select("grp", "total", F.explode(_ranks_inside()).alias("rank"), "value"))
-            break
-        n_splitters = SPLITS
         cuts = [(i + 1) / (SPLITS + 1) for i in range(SPLITS)]
-        sketches = rows.groupBy("grp", "cell").agg(_sketch("value", cuts).alias("splitters"))
-        targets = materialize(sketches.join(c, same_cell).drop("c_grp", "c_cell"), "quantile-cuts")
+        sketches = rows.groupBy("grp", "cell").agg(F.count("*").alias("size"), _sketch("value", cuts).alias("splitters"))
+        wanted, same = _same_cell(cells)
+        targets = materialize(sketches.join(wanted, same).drop("o_grp", "o_cell"), "quantile-cuts")
+    found.append(_at_ranks(rows, targets))
 
     values = reduce(DataFrame.unionByName, found)
     at = F.map_from_entries(F.collect_list(F.struct("rank", "value")))  # two ranks per quantile

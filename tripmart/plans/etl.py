@@ -12,7 +12,7 @@ from tripmart.operators.conform import conform, production_rows
 from tripmart.operators.sinks import write_partitions
 from tripmart.roles import INTEGER_COLUMNS, PRODUCTION_COLUMNS
 from tripmart.sources.landing import manifest
-from tripmart.sources.readers import read_objects, object_paths, require_rows
+from tripmart.sources.readers import EmptySourceError, read_objects, object_paths, require_rows
 
 
 def load_zones(
@@ -39,7 +39,7 @@ def load_zones(
         landed = landed.filter(F.col("source_date").isin(months))
     paths = object_paths(landed)
     if not paths:
-        raise FileNotFoundError(f"nothing has landed for {dataset} {months or ''} under {landing}")
+        raise EmptySourceError(f"nothing has landed for {dataset} {months or ''} under {landing}")
     rows = conform(read_objects(spark, paths, {c: "int" for c in integers}), run_date)
     require_rows(rows, f"{dataset} under {landing}")
     write_partitions(rows, f"{staging}/{dataset}", ["source_date"])

@@ -31,14 +31,14 @@ def category_links(links: DataFrame, categories: list[str], periods: list[str],
     each link is expanded by its own matches, without a join.
     """
 
+    text = F.col("lower_text")
+
     def named(category: Column) -> Column:
-        if exact:
-            return F.lower(F.col("text")) == F.lower(category)
-        return html.contains_ignoring_case(F.col("text"), category)
+        return text == F.lower(category) if exact else F.contains(text, F.lower(category))
 
-    return links.withColumn("category", F.explode(F.filter(_names(categories), named))).withColumn(
-        "period", F.explode(F.filter(_names(periods), lambda p: F.contains(F.col("href"), p)))
-    )
+    dated = links.withColumn("period", F.explode(F.filter(_names(periods), lambda p: F.contains(F.col("href"), p))))
+    lowered = dated.withColumn("lower_text", F.lower("text"))
+    return lowered.withColumn("category", F.explode(F.filter(_names(categories), named))).drop("lower_text")
 
 
 def first_links(matched: DataFrame, keys: list[str]) -> DataFrame:
