@@ -441,6 +441,11 @@ def first_category_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.first_links(category_links(spark, sf_dir), ["page_id"])
 
 
+def missing_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return links.missing_links(pages, first_category_link(spark, sf_dir), ["page_id"], CATEGORIES, PERIODS)
+
+
 def missing_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.missing_categories(_table(spark, sf_dir, "pages"), CATEGORIES)
 
@@ -513,6 +518,7 @@ QUERIES = [
     category_links,
     category_links_exact,
     first_category_link,
+    missing_links,
     missing_categories,
     missing_categories_by_page,
     incremental_load,

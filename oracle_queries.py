@@ -257,6 +257,9 @@ ORACLES: dict[str, str] = {
         WHERE lower(text) = lower(category) AND contains(href, period)""",
     "first_category_link": f"""
         SELECT page_id, category, period, arg_min(href, pos) AS href FROM ({CATEGORY_LINKS}) GROUP BY 1, 2, 3""",
+    "missing_links": f"""
+        SELECT page_id, category, period FROM pages, {CATEGORIES}, {PERIODS}
+        EXCEPT SELECT page_id, category, period FROM ({CATEGORY_LINKS})""",
     "missing_categories": f"""
         SELECT category FROM {CATEGORIES}
         WHERE NOT EXISTS (SELECT 1 FROM {PAGE_TEXT} WHERE contains(text, lower(category)))""",

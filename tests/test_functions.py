@@ -125,6 +125,31 @@ def test_an_unclosed_anchor_ends_where_the_next_begins(spark):
     assert [(r.href, r.text) for r in found.orderBy("pos").collect()] == [("/1", "one"), ("/2", "two"), ("/3", "three")]
 
 
+@pytest.mark.parametrize(
+    ("tag", "href"),
+    [
+        ("""<a title="see href=/no" data-href="/no" hreflang='en' href="/yes">""", "/yes"),
+        ("<a href=/it's>", "/it's"),
+        ("<a class=x href = '/yes' download>", "/yes"),
+        ('<a href="/a>b?x=1">', "/a>b?x=1"),
+        ("<a\nhref='/yes'/>", "/yes"),
+        ('<a title="don\'t" href="/yes">', "/yes"),
+        ("<a href=>", ""),
+        ('<a title="href=/no">', None),
+        ("<a>", None),
+        ("<abbr href='/no'>", None),
+    ],
+)
+def test_href_of_a_tag(spark, tag, href):
+    found = page_links(_page(spark, f"<p>it's</p>{tag}don't</a>"), ["page_id"]).collect()
+    assert [(r.href, r.text) for r in found] == ([] if href is None else [(href, "don't")])
+
+
+def test_long_malformed_pages_are_read_whole(spark):
+    page = "<a href='/1'>x</a>" + "<a " + "=" * 100_000 + "<p " * 50_000 + "'" * 50_001 + "<a href='/2'>y</a>"
+    assert [r.href for r in page_links(_page(spark, page), ["page_id"]).orderBy("pos").collect()][0] == "/1"
+
+
 def test_category_links_and_the_first_of_each(spark):
     categories = ["For-Hire Vehicle Trip Records", "Yellow Taxi Trip Records"]
     links = page_links(_page(spark), ["page_id"])

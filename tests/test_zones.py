@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tripmart.functions import names
 from tripmart.operators import catalog, conform, sinks
 from tripmart.plans import etl
-from tripmart.roles import CATEGORIES, FIRST_MONTH, LAST_MONTH, PRODUCTION_COLUMNS
+from tripmart.roles import CATEGORIES, MONTHS, PRODUCTION_COLUMNS
 from tripmart.session import OVERWRITE_MODE, dynamic_overwrite, materialize, scratch_dir
 from tripmart.sources import landing, readers
 
@@ -81,10 +81,30 @@ def test_lookup_by_prefix_takes_the_first_path(spark, zone):
 
 
 def test_configured_grid(spark):
-    grid = rows(landing.configured_grid(spark, CATEGORIES, FIRST_MONTH, LAST_MONTH))
+    grid = rows(landing.configured_grid(spark, CATEGORIES, MONTHS[0], MONTHS[-1]))
     assert len(grid) == 20
     assert grid[0] == ("For-Hire Vehicle Trip Records", "2023-01")
-    assert {m for _, m in grid} == {f"2023-0{i}" for i in range(1, 6)}
+    assert {m for _, m in grid} == set(MONTHS)
+
+
+def test_fetch_plan(spark, zone):
+    anchors = [
+        ("yellow_tripdata_2023-01.parquet", "Yellow Taxi Trip Records"),
+        ("yellow_tripdata_2023-03.parquet", "Yellow Taxi Trip Records"),
+        ("green_tripdata_2023-02.parquet", "Green Taxi Trip Records"),
+        ("green_tripdata_2023-02_fixed.parquet", "Green Taxi Trip Records"),
+    ]
+    page = "".join(f'<a href="https://host/{file}">{text}</a>' for file, text in anchors)
+    pages = spark.createDataFrame([(1, page)], "page_id int, html string")
+    plan = etl.plan_fetch(pages, ["page_id"], landing.manifest(spark, f"{zone}/raw"))
+    assert rows(plan.to_fetch.select("dataset", "file_name")) == [
+        ("green_tripdata", "green_tripdata_2023-02.parquet"),
+        ("yellow_tripdata", "yellow_tripdata_2023-03.parquet"),
+    ]
+    missing = rows(plan.missing)
+    assert len(missing) == 20 - 3
+    assert (1, "Yellow Taxi Trip Records", "2023-02") in missing
+    assert (1, "Yellow Taxi Trip Records", "2023-03") not in missing
 
 
 @pytest.mark.parametrize("zone_name", ["UTC", "America/Sao_Paulo", "America/New_York"])
@@ -210,7 +230,8 @@ def test_publish_creates_once_then_replaces_months(spark, folder):
     def dated(month, n):
         return trips(spark, month, n).withColumn("source_date", F.lit(month))
 
-    catalog.publish(spark, dated("2023-01", 3).unionByName(dated("2023-02", 2)), table, place)
+    catalog.publish(spark, dated("2023-01", 3).unionByName(dated("2023-02", 2)), table, place, properties={"owner": "trips"})
+    assert "owner=trips" in spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Table Properties'").first()[1]
     assert [c.name for c in spark.catalog.listColumns(table) if c.isPartition] == ["source_date"]
     assert place in spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Location'").first()[1]
     assert catalog.list_tables(spark, name) == ["yellow"]
@@ -219,7 +240,7 @@ def test_publish_creates_once_then_replaces_months(spark, folder):
         again = dated("2023-02", 4)
         catalog.publish(spark, again.select(*reversed(again.columns)), table, place)
         assert rows(spark.table(table).groupBy("source_date").count()) == [("2023-01", 3), ("2023-02", 4)]
-    catalog.publish(spark, dated("2023-02", 1), table, place, append=True)
+    catalog.publish(spark, dated("2023-02", 1), table, place, append=True, rebalance=True)
     assert rows(spark.table(table).groupBy("source_date").count()) == [("2023-01", 3), ("2023-02", 5)]
     assert spark.table(table).agg(F.max("passenger_count")).first()[0] == 3.5
 

@@ -12,11 +12,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
-REST_OF_TAG = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
-ANCHOR = rf"(?is)<a\s{REST_OF_TAG}.*?(?=<a\s|</a\s*>|\z)"
-OPEN_TAG = rf"(?is)^<a\s{REST_OF_TAG}"
-HREF = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-HAS_HREF = r"(?is)\shref\s*="
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+REST_OF_TAG = rf"(?:[^>=]++|=\s*+{VALUE}?+)*+>"
+ANCHOR = rf"(?is)<a(?=\s){REST_OF_TAG}.*?(?=<a\s|</a\s*>|\z)"
+OPEN_TAG = rf"(?is)^<a(?=\s){REST_OF_TAG}"
+OTHER_ATTRIBUTES = rf"(?:[\s/]*+(?!href\s*=)[^\s=>/]++(?:\s*+=\s*+{VALUE}?+)?+)*+"
+HREF = rf"""(?is)^<a{OTHER_ATTRIBUTES}[\s/]*+href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)?)"""
 TAG = r"<[^>]*>"
 TEXT_BREAK = r"<!--|-->|<[^>]*>"
 BREAK = "\u0001"
@@ -76,12 +77,11 @@ def anchors(html: Column) -> Column:
 
 
 def has_href(anchor: Column) -> Column:
-    return F.regexp_extract(anchor, OPEN_TAG, 0).rlike(HAS_HREF)
+    return anchor.rlike(HREF)
 
 
 def href(anchor: Column) -> Column:
-    tag = F.regexp_extract(anchor, OPEN_TAG, 0)
-    return decode_entities(F.concat(*[F.regexp_extract(tag, HREF, group) for group in (1, 2, 3)]))
+    return decode_entities(F.concat(*[F.regexp_extract(anchor, HREF, group) for group in (1, 2, 3)]))
 
 
 def anchor_text(anchor: Column) -> Column:

@@ -13,6 +13,7 @@ from tripmart.sources.landing import manifest
 from tripmart.sources.readers import read_zone, require_rows, scan_recursive
 
 PARTITION = "source_date"
+FILE_FORMATS = ("parquet", "orc")
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -57,26 +58,41 @@ def register_zone(spark: SparkSession, database: str, root: str) -> list[str]:
     return registered
 
 
-def publish(spark: SparkSession, rows: DataFrame, table: str, location: str, fmt: str = "parquet", append: bool = False) -> DataFrame:
+def publish(
+    spark: SparkSession,
+    rows: DataFrame,
+    table: str,
+    location: str,
+    fmt: str = "parquet",
+    properties: dict[str, str] | None = None,
+    append: bool = False,
+    rebalance: bool = False,
+) -> DataFrame:
     """Create the table, or load into it; returns the published table.
 
     The table is partitioned by ``source_date`` from its creation on if the rows have that column.
     A later run replaces the months it brings, so that running twice changes nothing; ``append``
-    adds them instead.
+    adds them instead. Rows read from monthly files come month by month and are written where they
+    are; ``rebalance`` is for rows in no such order.
     """
     require_rows(rows, f"the source of {table}")
     partitioned = PARTITION in rows.columns
+    if rebalance and partitioned:
+        rows = rows.hint("rebalance", PARTITION)
     if not spark.catalog.tableExists(table):
-        writer = rows.write.format(fmt).option("path", location)
-        (writer.partitionBy(PARTITION) if partitioned else writer).saveAsTable(table)
+        writer = rows.writeTo(table).using(fmt)
+        writer = writer.option("path", location) if fmt in FILE_FORMATS else writer.tableProperty("location", location)
+        for key, value in (properties or {}).items():
+            writer = writer.tableProperty(key, value)
+        (writer.partitionedBy(F.col(PARTITION)) if partitioned else writer).create()
+        return spark.table(table)
+    # insertInto goes by position
+    aligned = rows.select(*spark.table(table).columns)
+    if append:
+        aligned.write.insertInto(table)
     else:
-        # insertInto goes by position
-        aligned = rows.select(*spark.table(table).columns)
-        if append:
-            aligned.write.insertInto(table)
-        else:
-            with dynamic_overwrite(spark):
-                aligned.write.insertInto(table, overwrite=True)
+        with dynamic_overwrite(spark):
+            aligned.write.insertInto(table, overwrite=True)
     return spark.table(table)
 
 

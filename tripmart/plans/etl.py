@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +11,35 @@ from pyspark.sql import functions as F
 from tripmart.operators.catalog import create_database, publish_folder
 from tripmart.operators.conform import conform, production_rows
 from tripmart.operators.sinks import write_partitions
-from tripmart.roles import INTEGER_COLUMNS, PRODUCTION_COLUMNS
+from tripmart.roles import CATEGORIES, INTEGER_COLUMNS, MONTHS, PRODUCTION_COLUMNS
+from tripmart.sources import landing, links
 from tripmart.sources.landing import manifest
 from tripmart.sources.readers import EmptySourceError, read_objects, object_paths, require_rows
 
 
+@dataclass(frozen=True)
+class FetchPlan:
+    """What a run has to fetch, and the categories and months it finds no link for."""
+
+    to_fetch: DataFrame
+    missing: DataFrame
+
+
+def plan_fetch(
+    pages: DataFrame, keys: list[str], landed: DataFrame, categories: list[str] = CATEGORIES, months: list[str] = MONTHS
+) -> FetchPlan:
+    """First link per page, category and month, less the files that have landed.
+
+    Raises nothing for what is missing: it is a table of its own, for the caller to act on.
+    """
+    first = links.first_links(links.category_links(links.page_links(pages, keys), categories, months), keys)
+    to_fetch = landing.files_to_fetch(landing.wanted_files(first).distinct(), landed)
+    return FetchPlan(to_fetch, links.missing_links(pages, first, keys, categories, months))
+
+
 def load_zones(
     spark: SparkSession,
-    landing: str,
+    raw: str,
     staging: str,
     production: str,
     dataset: str,
@@ -34,14 +56,14 @@ def load_zones(
     ``<dataset>_parquet/period=<yyyy_MM>``. It is computed from the landed files again, which reads
     eight columns, rather than from the staging copy of all of them.
     """
-    landed = manifest(spark, landing).filter(F.col("dataset") == dataset)
+    landed = manifest(spark, raw).filter(F.col("dataset") == dataset)
     if months is not None:
         landed = landed.filter(F.col("source_date").isin(months))
     paths = object_paths(landed)
     if not paths:
-        raise EmptySourceError(f"nothing has landed for {dataset} {months or ''} under {landing}")
+        raise EmptySourceError(f"nothing has landed for {dataset} {months or ''} under {raw}")
     rows = conform(read_objects(spark, paths, {c: "int" for c in integers}), run_date)
-    require_rows(rows, f"{dataset} under {landing}")
+    require_rows(rows, f"{dataset} under {raw}")
     write_partitions(rows, f"{staging}/{dataset}", ["source_date"])
     common = production_rows(rows, columns, integers, ignore_case)
     period = F.replace(F.col("source_date"), F.lit("-"), F.lit("_"))
@@ -51,7 +73,7 @@ def load_zones(
 
 def run_etl(
     spark: SparkSession,
-    landing: str,
+    raw: str,
     root: str,
     database: str,
     datasets: list[str],
@@ -62,7 +84,7 @@ def run_etl(
     create_database(spark, database, f"{root}/database")
     published = {}
     for dataset in datasets:
-        load_zones(spark, landing, f"{root}/staging", f"{root}/production", dataset, months, **options)
+        load_zones(spark, raw, f"{root}/staging", f"{root}/production", dataset, months, **options)
         source = f"{root}/production/{dataset}_parquet"
         published[dataset] = publish_folder(spark, source, f"{database}.{dataset}", f"{root}/tables/{dataset}")
     return published

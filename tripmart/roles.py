@@ -26,8 +26,7 @@ CATEGORIES = [
     "For-Hire Vehicle Trip Records",
     "High Volume For-Hire Vehicle Trip Records",
 ]
-FIRST_MONTH = "2023-01"
-LAST_MONTH = "2023-05"
+MONTHS = ["2023-01", "2023-02", "2023-03", "2023-04", "2023-05"]
 PRODUCTION_COLUMNS = [
     "VendorID",
     "tpep_pickup_datetime",

@@ -46,6 +46,16 @@ def first_links(matched: DataFrame, keys: list[str]) -> DataFrame:
     return matched.groupBy(*keys, "category", "period").agg(F.min_by("href", "pos").alias("href"))
 
 
+def missing_links(pages: DataFrame, first: DataFrame, keys: list[str], categories: list[str], periods: list[str]) -> DataFrame:
+    """Categories and periods for which a page has no link: what a run cannot load.
+
+    The expected rows are generated within each page's row.
+    """
+    expected = pages.select(*keys, F.explode(_names(categories)).alias("category"))
+    expected = expected.withColumn("period", F.explode(_names(periods)))
+    return expected.join(first.select(*keys, "category", "period"), [*keys, "category", "period"], "left_anti")
+
+
 def missing_categories(pages: DataFrame, categories: list[str], markup: str = "html") -> DataFrame:
     """Categories that no page names.
 
