@@ -121,6 +121,18 @@ def amount_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution.monthly_distribution(_table(spark, sf_dir, "lineitem"), LINEITEM.pickup, LINEITEM.amount)
 
 
+def amount_quantiles_by_cutting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles with so few values allowed per task that every month is cut, some of them repeatedly."""
+    trips = _table(spark, sf_dir, "lineitem")
+    rows = trips.select(month_start(trips, LINEITEM.pickup).alias("first_day"), LINEITEM.amount)
+    found = distribution.quantiles(rows, "first_day", LINEITEM.amount, [0.1, 0.5, 0.99], values_per_task=40)
+    return found.select(
+        month_label(F.col("first_day")).alias("month"),
+        "n",
+        *[round_half_up(F.col("q")[i]).alias(name) for i, name in enumerate(["p10", "p50", "p99"])],
+    )
+
+
 def amount_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution.monthly_histogram(_table(spark, sf_dir, "orders"), ORDERS.pickup, ORDERS.amount, 50_000.0)
 
@@ -349,6 +361,17 @@ def publish_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(spark, sf_dir, runs=2)
 
 
+def publish_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Early months with one column less: the table gains it with the later months."""
+    database, place = _database(spark)
+    rows = conform.conform(readers.read_landed(spark, _landed(spark, sf_dir, "orders")), RUN_DATE)
+    early = F.col("source_date") < "1998-01"
+    for part in (rows.filter(early).drop("priority"), rows.filter(~early)):
+        catalog.publish(spark, part, f"{database}.orders_trips", f"{place}/tables/orders_trips")
+    table = spark.table(f"{database}.orders_trips")
+    return table.groupBy("source_date", "priority").agg(F.count("*").alias("n_trips"))
+
+
 def publish_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(spark, sf_dir, runs=2, append=True)
 
@@ -488,6 +511,7 @@ QUERIES = [
     peak_low_hours,
     monthly_trend,
     amount_distribution,
+    amount_quantiles_by_cutting,
     amount_histogram,
     amount_outliers,
     quality_rule_counts,
@@ -508,6 +532,7 @@ QUERIES = [
     publish_create,
     publish_rerun,
     publish_append,
+    publish_evolving,
     register_landed_dir,
     publish_all_tables,
     etl_monthly_report,

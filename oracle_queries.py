@@ -162,6 +162,12 @@ ORACLES: dict[str, str] = {
                {_round("max(l_extendedprice)")} AS max_amount,
                {_round("avg(l_extendedprice)")} AS avg_amount
         FROM lineitem GROUP BY 1 ORDER BY 1""",
+    "amount_quantiles_by_cutting": f"""
+        SELECT {_month("l_shipdate")} AS month, count(l_extendedprice) AS n,
+               {_round("quantile_cont(l_extendedprice, 0.1)")} AS p10,
+               {_round("quantile_cont(l_extendedprice, 0.5)")} AS p50,
+               {_round("quantile_cont(l_extendedprice, 0.99)")} AS p99
+        FROM lineitem GROUP BY 1""",
     "amount_histogram": f"""
         SELECT {_month("o_orderdate")} AS month, floor(o_totalprice / 50000.0::double) * 50000.0::double AS class_from,
                count(*) AS n_trips
@@ -238,6 +244,10 @@ ORACLES: dict[str, str] = {
     "publish_create": _by_month("orders"),
     "publish_rerun": _by_month("orders"),
     "publish_append": _by_month("orders", times=2),
+    "publish_evolving": f"""
+        SELECT {_month("o_orderdate")} AS source_date,
+               CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS priority, count(*) AS n_trips
+        FROM orders GROUP BY 1, 2""",
     "register_landed_dir": BOTH_TABLES,
     "publish_all_tables": BOTH_TABLES,
     "etl_monthly_report": f"""

@@ -5,16 +5,18 @@ from __future__ import annotations
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from conftest import land_file, rows, session_zone
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tripmart.functions import names
 from tripmart.operators import catalog, conform, sinks
 from tripmart.plans import etl
 from tripmart.roles import CATEGORIES, MONTHS, PRODUCTION_COLUMNS
-from tripmart.session import OVERWRITE_MODE, dynamic_overwrite, materialize, scratch_dir
+from tripmart.session import CHECKPOINT_DIR, OVERWRITE_MODE, dynamic_overwrite, materialize, scratch_dir, sized_conf
 from tripmart.sources import landing, readers
 
 RUN = date(2023, 6, 1)
@@ -245,6 +247,35 @@ def test_publish_creates_once_then_replaces_months(spark, folder):
     assert spark.table(table).agg(F.max("passenger_count")).first()[0] == 3.5
 
 
+def test_published_and_registered_tables_gain_columns(spark, folder):
+    name = database(spark, folder)
+
+    def dated(month, n, *extra):
+        return trips(spark, month, n).select("*", F.lit(month).alias("source_date"), *extra)
+
+    later = dated("2023-02", 2, F.lit(1.75).alias("airport_fee")).drop("total_amount")
+    for rows_ in (dated("2023-01", 3), later):
+        catalog.publish(spark, rows_, f"{name}.published", f"{folder}/published")
+        sinks.write_partitions(rows_, f"{folder}/zone", ["source_date"])
+        catalog.register_folder(spark, f"{name}.registered", f"{folder}/zone")
+    for table in ("published", "registered"):
+        found = spark.table(f"{name}.{table}").groupBy("source_date").agg(F.sum("total_amount"), F.sum("airport_fee"))
+        assert rows(found) == [("2023-01", 30.75, None), ("2023-02", None, 3.5)]
+    with pytest.raises(AnalysisException):
+        text = dated("2023-03", 1).withColumn("VendorID", F.lit("x"))
+        catalog.publish(spark, text, f"{name}.published", f"{folder}/published")
+
+
+def test_register_a_folder_without_months(spark, folder):
+    name = database(spark, folder)
+    sinks.append_rows(trips(spark, "2023-01", 3), f"{folder}/plain")
+    catalog.register_folder(spark, f"{name}.plain", f"{folder}/plain")
+    sinks.append_rows(trips(spark, "2023-01", 2), f"{folder}/plain")
+    catalog.register_folder(spark, f"{name}.plain", f"{folder}/plain")
+    assert spark.table(f"{name}.plain").count() == 5
+    assert not any(c.isPartition for c in spark.catalog.listColumns(f"{name}.plain"))
+
+
 def test_table_without_source_date_is_not_partitioned(spark, folder):
     name = database(spark, folder)
     for n in (3, 2):
@@ -300,6 +331,25 @@ def test_dynamic_overwrite_is_put_back_by_the_last_of_several_threads(spark):
         spark.conf.set(OVERWRITE_MODE, before)
 
 
+def test_scratch_folder_needs_the_shared_folder_on_a_cluster():
+    def session(master, conf):
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert scratch_dir(session("yarn", {CHECKPOINT_DIR: "hdfs:///shared/"}), "x").startswith("hdfs:///shared/tripmart/x-")
+    with pytest.raises(ValueError, match=CHECKPOINT_DIR):
+        scratch_dir(session("yarn", {}), "x")
+    assert scratch_dir(session("local[4]", {}), "x").startswith("/")
+
+
+def test_partition_settings_grow_with_the_input():
+    def numbers(size):
+        return [int(v) for v in sized_conf(size).values()]
+
+    assert numbers(10**9) == [128 * 2**20, 200]
+    assert numbers(10**12) == [128 * 2**20, 931]
+    assert numbers(10**14) == [500_000_000, 10_000]
+
+
 def test_scratch_folders_are_new_and_materialize_keeps_rows(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
     df = trips(spark, "2023-01", 3)

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.session import dynamic_overwrite
 from tripmart.sources.landing import manifest
@@ -25,18 +26,36 @@ def list_tables(spark: SparkSession, database: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
 
 
+def _add_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Give a table the columns it lacks; rows loaded before show NULL in them."""
+    known = {c.lower() for c in spark.table(table).columns}
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name.lower() not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+
+
+def _aligned(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """The rows in the table's columns, NULL where they have none; ``insertInto`` goes by position."""
+    present = {c.lower() for c in rows.columns}
+    return rows.select(
+        *[F.col(f.name) if f.name.lower() in present else F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema]
+    )
+
+
 def register_folder(spark: SparkSession, table: str, path: str) -> None:
     """A landed folder as a table, its columns taken from the files and its partitions from the folders.
 
-    A table that exists only picks up new partitions.
+    A table that exists picks up new partitions and new columns.
     """
+    schema = read_zone(spark, path).schema
     if not spark.catalog.tableExists(table):
-        schema = read_zone(spark, path).schema
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         in_files = spark.read.option("recursiveFileLookup", "true").parquet(path).columns
         by_folder = PARTITION in schema.names and PARTITION not in in_files
         partitioned = f" PARTITIONED BY ({PARTITION})" if by_folder else ""
         spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{partitioned} LOCATION '{path}'")
+    else:
+        _add_columns(spark, table, schema)
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
         spark.catalog.recoverPartitions(table)
     else:
@@ -73,7 +92,8 @@ def publish(
     The table is partitioned by ``source_date`` from its creation on if the rows have that column.
     A later run replaces the months it brings, so that running twice changes nothing; ``append``
     adds them instead. Rows read from monthly files come month by month and are written where they
-    are; ``rebalance`` is for rows in no such order.
+    are; ``rebalance`` is for rows in no such order. New columns are added to the table, columns the
+    rows lack are NULL, and a type that the table's cannot hold raises.
     """
     require_rows(rows, f"the source of {table}")
     partitioned = PARTITION in rows.columns
@@ -86,8 +106,8 @@ def publish(
             writer = writer.tableProperty(key, value)
         (writer.partitionedBy(F.col(PARTITION)) if partitioned else writer).create()
         return spark.table(table)
-    # insertInto goes by position
-    aligned = rows.select(*spark.table(table).columns)
+    _add_columns(spark, table, rows.schema)
+    aligned = _aligned(rows, spark.table(table))
     if append:
         aligned.write.insertInto(table)
     else:

@@ -12,7 +12,8 @@ from tripmart.functions.numeric import round_half_up
 from tripmart.functions.time import month_label, month_start
 from tripmart.session import materialize
 
-ACCURACY = 10_000
+# a coarse sketch is enough to place cuts and costs half the time of the default accuracy
+CUT_ACCURACY = 1_000
 SPLITS = 31
 VALUES_PER_TASK = 1_000_000
 
@@ -22,7 +23,7 @@ def _rank(p: float, n: Column) -> Column:
 
 
 def _sketch(value: str, probs: list[float]) -> Column:
-    return F.percentile_approx(value, probs, ACCURACY)
+    return F.percentile_approx(value, probs, CUT_ACCURACY)
 
 
 def _same_cell(df: DataFrame) -> tuple[DataFrame, Column]:
@@ -98,7 +99,7 @@ def quantiles(
     rows = df.select(F.col(group).alias("grp"), F.col(value).cast("double").alias("value")).filter("value IS NOT NULL")
     rows = rows.withColumn("cell", F.lit("")).withColumn("n", F.lit(1).cast("bigint"))
 
-    margin = 4 / ACCURACY
+    margin = 4 / CUT_ACCURACY
     cuts = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
     ranks = F.array(*[f(_rank(p, F.col("total"))).cast("bigint") for p in probs for f in (F.floor, F.ceil)])
     head = rows.groupBy("grp", "cell").agg(F.count("*").alias("total"), _sketch("value", cuts).alias("splitters"))
@@ -137,7 +138,7 @@ def quantiles(
     )
 
 
-def approximate_quantiles(df: DataFrame, group: str, value: str, probs: list[float], accuracy: int = ACCURACY) -> DataFrame:
+def approximate_quantiles(df: DataFrame, group: str, value: str, probs: list[float], accuracy: int = 10_000) -> DataFrame:
     """Quantiles from the sketch alone, in one pass; the rank is off by at most n / accuracy."""
     return df.groupBy(group).agg(
         F.count(value).alias("n"), F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("q")

@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+MB = 1024 * 1024
 
 
 def build_session(app: str = "tripmart", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs assume.
 
-    Shuffle partitions are left to AQE: it coalesces small ones and splits skewed ones, so the
-    initial number only has to be large enough for the biggest shuffle of the cluster in use.
+    AQE joins small shuffle partitions and splits skewed ones, so their initial number only has to
+    be large enough for the biggest shuffle; see ``sized_conf``.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -36,6 +37,19 @@ def build_session(app: str = "tripmart", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def sized_conf(input_bytes: int) -> dict[str, str]:
+    """Partition settings for ``build_session`` by the bytes of the largest input.
+
+    Scan tasks read 128 MB, or more where that would make over 200 000 tasks. The widest shuffle is
+    that of the repeated-row rule, which moves its key columns, about an eighth of the input; more
+    than 10 000 partitions would cost more in blocks than they save in spilling. AQE joins the
+    partitions of smaller shuffles.
+    """
+    scan = max(128 * MB, -(-input_bytes // 200_000))
+    shuffle = min(max(200, input_bytes // 8 // (128 * MB)), 10_000)
+    return {"spark.sql.files.maxPartitionBytes": str(scan), "spark.sql.shuffle.partitions": str(shuffle)}
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's checkpoint folder, which every executor can reach.
 

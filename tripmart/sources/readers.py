@@ -159,24 +159,28 @@ def read_landed(
 
 
 def read_zone(spark: SparkSession, path: str) -> DataFrame:
-    """A zone folder partitioned by ``source_date``, with that column as the string it was written as.
+    """A zone folder, usually partitioned by ``source_date``, with that column as the string it was written as.
 
     Months written by different runs may differ in schema; they are grouped as landed objects are.
-    Each group's schema names ``source_date`` a string: a type guessed from the folder names would
-    take ``2023-01`` for a date.
+    A schema names ``source_date`` a string: a type guessed from the folder names would take
+    ``2023-01`` for a date.
     """
     merged = _merged_schema(spark, [path], recursive=False)
     groups = [(merged, [path])] if merged is not None else schema_groups(spark, _month_folders(spark, path))
     parts = []
     for schema, members in groups:
-        schema = T.StructType([f for f in schema if f.name != "source_date"]).add("source_date", "string")
-        parts.append(spark.read.schema(schema).option("basePath", path).parquet(*members))
+        columns = T.StructType([f for f in schema if f.name != "source_date"])
+        if "source_date" in schema.names or any("/source_date=" in m for m in members):
+            columns = columns.add("source_date", "string")
+        parts.append(spark.read.schema(columns).option("basePath", path).parquet(*members))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _month_folders(spark: SparkSession, path: str) -> list[str]:
-    files = manifest(spark, path).select(F.regexp_extract("path", r"^(.*/source_date=[^/]*)/", 1).alias("folder"))
-    return [row.folder for row in files.distinct().orderBy("folder").toLocalIterator()]
+    """The ``source_date`` folders of a zone, and the files that lie in none."""
+    folder = F.regexp_extract("path", "^(.*/source_date=[^/]*)/", 1)
+    found = manifest(spark, path).select(F.when(folder != "", folder).otherwise(F.col("path")).alias("folder"))
+    return [row.folder for row in found.distinct().orderBy("folder").toLocalIterator()]
 
 
 def schema_report(spark: SparkSession, root: str) -> DataFrame:
