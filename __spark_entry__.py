@@ -228,7 +228,7 @@ def drift_safe_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conform_audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conform.conform(readers.read_landed(spark, _landed(spark, sf_dir, "orders")), RUN_DATE)
-    name = names.object_name(F.col("data_source"))
+    name = names.object_name(names.object_path(F.col("data_source")))
     return rows.select(
         "trip_id",
         wall_clock(rows, "tpep_pickup_datetime").alias("pickup"),
@@ -253,7 +253,7 @@ def tolerant_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "tpep_pickup_datetime": wall_clock(common, "tpep_pickup_datetime"),
             "ingestion_date": F.col("ingestion_date").cast("string"),
-            "data_source": names.object_name(F.col("data_source")),
+            "data_source": names.object_name(names.object_path(F.col("data_source"))),
         }
     )
 

@@ -315,6 +315,19 @@ def test_whole_run_twice_and_publish_all(spark, zone):
         assert [spark.table(t).count() for t in tables] == [4, 5]
 
 
+def test_run_of_one_month_reads_and_replaces_that_month_only(spark, zone):
+    name = database(spark, zone)
+    land_file(trips(spark, "2023-03", 0), zone, "raw/yellow_tripdata/yellow_tripdata_2023-03.parquet")
+    etl.run_etl(spark, f"{zone}/raw", f"{zone}/run", name, ["yellow_tripdata"], run_date=RUN)
+    before = {f for f in spark.table(f"{name}.yellow_tripdata").inputFiles()}
+    land_file(trips(spark, "2023-02", 6), zone, "raw/yellow_tripdata/yellow_tripdata_2023-02.parquet")
+    etl.run_etl(spark, f"{zone}/raw", f"{zone}/run", name, ["yellow_tripdata"], ["2023-02"], run_date=RUN)
+    table = spark.table(f"{name}.yellow_tripdata")
+    assert rows(table.groupBy("source_date").count()) == [("2023-01", 3), ("2023-02", 6)]
+    kept = before & set(table.inputFiles())
+    assert kept and all("2023-01" in f for f in kept) and len(kept) == len([f for f in before if "2023-01" in f])
+
+
 def test_dynamic_overwrite_is_put_back_by_the_last_of_several_threads(spark):
     before = spark.conf.get(OVERWRITE_MODE)
     spark.conf.set(OVERWRITE_MODE, "static")

@@ -1,8 +1,8 @@
 """What the path of a landed object says about it.
 
 A landed object is a file ``<zone>/<a>_<b>/<a>_<b>_<period>.parquet``, or a folder of that name
-which a Spark job wrote (also as a partition folder, ``object=<name>``). The expressions are
-evaluated for every row read, so they cut strings and use no regular expressions.
+which a Spark job wrote (also as a partition folder, ``object=<name>``). ``source_date`` is
+evaluated for every row read, so it cuts strings and uses no regular expression.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ def object_name(path: Column) -> Column:
 
 
 def source_date(path: Column) -> Column:
-    """Period of the object: last ``_`` token of its name before the suffix."""
-    stem = F.substring_index(F.substring_index(object_name(path), ".", -2), ".", 1)
-    return F.substring_index(stem, "_", -1)
+    """Period of the object, from its path or that of a file in it: last ``_`` token before the suffix."""
+    stem = F.substring_index(F.substring_index(path, ".parquet", 1), "/", -1)
+    return F.substring_index(F.substring_index(stem, "_", -1), ".", -1)
 
 
 def dataset(name: Column) -> Column:

@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 
 from tripmart.session import dynamic_overwrite
 from tripmart.sources.landing import manifest
-from tripmart.sources.readers import read_zone, require_rows, scan_recursive
+from tripmart.sources.readers import partition_folders, read_zone, require_rows, scan_recursive
 
 PARTITION = "source_date"
+PERIOD = "period"
 FILE_FORMATS = ("parquet", "orc")
 
 
@@ -116,9 +117,18 @@ def publish(
     return spark.table(table)
 
 
-def publish_folder(spark: SparkSession, source: str, table: str, location: str, **options) -> DataFrame:
-    """Publish all files below a production folder."""
-    return publish(spark, scan_recursive(spark, source), table, location, **options)
+def publish_folder(
+    spark: SparkSession, source: str, table: str, location: str, months: list[str] | None = None, **options
+) -> DataFrame:
+    """Publish a production folder: all files below it, or the ``period`` folders of some months.
+
+    A month without rows has no folder, and leaves the table as it is.
+    """
+    folders = [source]
+    if months is not None:
+        wanted = {month.replace("-", "_") for month in months}
+        folders = [f for f in partition_folders(spark, source, PERIOD) if f.rsplit("=", 1)[-1] in wanted]
+    return publish(spark, scan_recursive(spark, *folders), table, location, **options)
 
 
 def publish_all(

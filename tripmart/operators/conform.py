@@ -17,7 +17,7 @@ from tripmart.roles import INTEGER_COLUMNS, PRODUCTION_COLUMNS
 def conform(landed: DataFrame, run_date: date | None = None) -> DataFrame:
     """Staging rows: every TIMESTAMP_NTZ as an instant, and the audit columns at the end.
 
-    ``landed`` carries its object's path in ``data_source``, as the readers put it there. One
+    ``landed`` carries the path of its file in ``data_source``, as the readers put it there. One
     projection, so the scan, the casts and the write run as a single stage.
     """
     audit = {"ingestion_date", "data_source", "source_date"}
@@ -59,11 +59,13 @@ def production_rows(
 
 
 def profile(staging: DataFrame) -> DataFrame:
-    """Rows and columns per dataset and month; the columns read are the path only."""
-    name = names.object_name(F.col("data_source"))
+    """Rows and columns per dataset and month. Reads the path only, and takes it apart once per file."""
+    path = names.object_path(F.col("data_source"))
     counts = staging.groupBy("data_source").agg(F.count("*").alias("n_rows"))
     return (
-        counts.groupBy(names.dataset(name).alias("dataset"), names.source_date(F.col("data_source")).alias("source_date"))
+        counts.groupBy(
+            names.dataset(names.object_name(path)).alias("dataset"), names.source_date(path).alias("source_date")
+        )
         .agg(F.sum("n_rows").alias("n_rows"))
         .withColumn("n_columns", F.lit(len(staging.columns)).cast("bigint"))
     )
@@ -71,9 +73,9 @@ def profile(staging: DataFrame) -> DataFrame:
 
 def distinct_sources(staging: DataFrame) -> DataFrame:
     """The objects the rows came from."""
-    return staging.select("data_source").distinct().select(
-        "data_source", names.object_name(F.col("data_source")).alias("file_name")
-    )
+    files = staging.select("data_source").distinct()
+    paths = files.select(names.object_path(F.col("data_source")).alias("path")).distinct()
+    return paths.select("path", names.object_name(F.col("path")).alias("file_name"))
 
 
 def preview(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:

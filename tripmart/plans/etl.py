@@ -8,13 +8,13 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.operators.catalog import create_database, publish_folder
+from tripmart.operators.catalog import PERIOD, create_database, publish_folder
 from tripmart.operators.conform import conform, production_rows
 from tripmart.operators.sinks import write_partitions
 from tripmart.roles import CATEGORIES, INTEGER_COLUMNS, MONTHS, PRODUCTION_COLUMNS
 from tripmart.sources import landing, links
 from tripmart.sources.landing import manifest
-from tripmart.sources.readers import EmptySourceError, read_objects, object_paths, require_rows
+from tripmart.sources.readers import EmptySourceError, read_objects, require_rows
 
 
 @dataclass(frozen=True)
@@ -48,8 +48,8 @@ def load_zones(
     integers: list[str] = INTEGER_COLUMNS,
     run_date: date | None = None,
     ignore_case: bool = False,
-) -> DataFrame:
-    """Conform the landed objects of a dataset and write both zones; returns the staging rows.
+) -> list[str]:
+    """Conform the landed objects of a dataset and write both zones; returns the months loaded.
 
     ``months`` limits the run; the months written replace themselves in both zones and no others.
     Production keeps ``source_date`` in its files and lies in one folder per month,
@@ -59,16 +59,17 @@ def load_zones(
     landed = manifest(spark, raw).filter(F.col("dataset") == dataset)
     if months is not None:
         landed = landed.filter(F.col("source_date").isin(months))
-    paths = object_paths(landed)
-    if not paths:
+    periods = {row.path: row.source_date for row in landed.select("path", "source_date").toLocalIterator()}
+    if not periods:
         raise EmptySourceError(f"nothing has landed for {dataset} {months or ''} under {raw}")
+    paths = sorted(periods, key=lambda path: (periods[path], path))
     rows = conform(read_objects(spark, paths, {c: "int" for c in integers}), run_date)
     require_rows(rows, f"{dataset} under {raw}")
     write_partitions(rows, f"{staging}/{dataset}", ["source_date"])
     common = production_rows(rows, columns, integers, ignore_case)
     period = F.replace(F.col("source_date"), F.lit("-"), F.lit("_"))
-    write_partitions(common.withColumn("period", period), f"{production}/{dataset}_parquet", ["period"])
-    return rows
+    write_partitions(common.withColumn(PERIOD, period), f"{production}/{dataset}_parquet", [PERIOD])
+    return sorted(set(periods.values()))
 
 
 def run_etl(
@@ -80,11 +81,11 @@ def run_etl(
     months: list[str] | None = None,
     **options,
 ) -> dict[str, DataFrame]:
-    """Load and publish each dataset under ``root``; returns the published tables by dataset."""
+    """Load each dataset under ``root`` and publish the months loaded; returns the tables by dataset."""
     create_database(spark, database, f"{root}/database")
     published = {}
     for dataset in datasets:
-        load_zones(spark, raw, f"{root}/staging", f"{root}/production", dataset, months, **options)
-        source = f"{root}/production/{dataset}_parquet"
-        published[dataset] = publish_folder(spark, source, f"{database}.{dataset}", f"{root}/tables/{dataset}")
+        loaded = load_zones(spark, raw, f"{root}/staging", f"{root}/production", dataset, months, **options)
+        source, table = f"{root}/production/{dataset}_parquet", f"{database}.{dataset}"
+        published[dataset] = publish_folder(spark, source, table, f"{root}/tables/{dataset}", loaded)
     return published

@@ -27,8 +27,6 @@ def build_session(app: str = "tripmart", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config(OVERWRITE_MODE, "dynamic")
-        # a task that holds few months writes them side by side, without sorting its rows by month
-        .config("spark.sql.maxConcurrentOutputFileWriters", "16")
     )
     if master:
         builder = builder.master(master)

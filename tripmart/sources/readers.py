@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.functions import names
 from tripmart.functions.time import utc_instant
 from tripmart.sources.landing import manifest
 
@@ -32,13 +31,13 @@ def scan(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -
     return reader.parquet(*paths)
 
 
-def scan_recursive(spark: SparkSession, root: str) -> DataFrame:
-    """All files below a folder, with the columns in the files only.
+def scan_recursive(spark: SparkSession, *folders: str) -> DataFrame:
+    """All files below the folders, with the columns in the files only.
 
     The scan goes to any depth and folder names give no columns, so ``source_date`` must be a
     column of the files. Columns that only some files have are kept.
     """
-    return spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(root)
+    return spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*folders)
 
 
 def object_paths(landed: DataFrame) -> list[str]:
@@ -119,7 +118,7 @@ def _casts(schemas: list[T.StructType], targets: dict[str, str]) -> dict[str, st
 
 
 def read_objects(spark: SparkSession, paths: list[str], targets: dict[str, str] | None = None) -> DataFrame:
-    """One DataFrame over objects of differing schemas, with the object's path as ``data_source``.
+    """One DataFrame over objects of differing schemas, with the path of each row's file as ``data_source``.
 
     Each schema group is one scan with its own schema; the union matches columns by name without
     regard to case, fills missing ones with NULL and widens numbers. ``targets`` names columns to
@@ -140,7 +139,7 @@ def read_objects(spark: SparkSession, paths: list[str], targets: dict[str, str]
                 return utc_instant(raw, field.name).alias(field.name)
             return F.col(field.name)
 
-        source = names.object_path(F.col("_metadata.file_path")).alias("data_source")
+        source = F.col("_metadata.file_path").alias("data_source")
         parts.append(raw.select(*[column(f) for f in raw.schema], source))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
@@ -166,7 +165,7 @@ def read_zone(spark: SparkSession, path: str) -> DataFrame:
     ``2023-01`` for a date.
     """
     merged = _merged_schema(spark, [path], recursive=False)
-    groups = [(merged, [path])] if merged is not None else schema_groups(spark, _month_folders(spark, path))
+    groups = [(merged, [path])] if merged is not None else schema_groups(spark, partition_folders(spark, path, "source_date"))
     parts = []
     for schema, members in groups:
         columns = T.StructType([f for f in schema if f.name != "source_date"])
@@ -176,9 +175,9 @@ def read_zone(spark: SparkSession, path: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _month_folders(spark: SparkSession, path: str) -> list[str]:
-    """The ``source_date`` folders of a zone, and the files that lie in none."""
-    folder = F.regexp_extract("path", "^(.*/source_date=[^/]*)/", 1)
+def partition_folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The ``column=value`` folders below a folder, and the files that lie in none."""
+    folder = F.regexp_extract("path", f"^(.*/{column}=[^/]*)/", 1)
     found = manifest(spark, path).select(F.when(folder != "", folder).otherwise(F.col("path")).alias("folder"))
     return [row.folder for row in found.distinct().orderBy("folder").toLocalIterator()]
 

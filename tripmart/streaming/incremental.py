@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.functions import names
 from tripmart.operators.conform import conform
 from tripmart.operators.sinks import write_partitions
 from tripmart.sources.readers import read_objects
@@ -33,7 +32,7 @@ def stream_uniform(
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
     )
-    rows = conform(raw.withColumn("data_source", names.object_path(F.col("_metadata.file_path"))), run_date)
+    rows = conform(raw.withColumn("data_source", F.col("_metadata.file_path")), run_date)
     query = (
         rows.writeStream.format("parquet")
         .partitionBy("source_date")
