@@ -27,6 +27,14 @@ from tripmart.session import scratch_dir  # noqa: E402
 from tripmart.sources import landing, links, readers  # noqa: E402
 from tripmart.streaming import incremental  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from tripmart.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tripmart.llm"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_DATE = date(2023, 6, 1)
 EVENTS = TripRoles(pickup="ts", vendor="event_type", passengers="passengers", amount="value")
@@ -557,10 +565,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    own = {query.__name__: query for query in QUERIES}
+    return own | llm.queries() | {"pipeline": corpus_pipeline.run} if llm else own
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLES
 
-    return ORACLES
+    return ORACLES | llm.ORACLES if llm else ORACLES
