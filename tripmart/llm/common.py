@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 from typing import Any
 
-import xxhash
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,5 +41,40 @@ class Memo(dict):
         return value
 
 
-def word_hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+#: By byte of UTF-8: what is not white space of ASCII, and letters, digits and all beyond ASCII.
+NOT_SPACE = np.array([not chr(b).isspace() or b > 127 for b in range(256)])
+ALPHANUMERIC = np.array([chr(b).isalnum() or b > 127 for b in range(256)])
+_BASE = 0x9E3779B97F4A7C15
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit values, one to one, with their bits spread."""
+    values = (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return values ^ (values >> np.uint64(32))
+
+
+@cache
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to 2 ** bits of the base and of its inverse, modulo 2 ** 64."""
+    found = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        factors = np.full((1 << bits) + 1, base, np.uint64)
+        factors[0] = 1
+        found.append(np.multiply.accumulate(factors))
+    return found[0], found[1]
+
+
+def word_hashes(text: str, letters: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word of the lower-cased text; words are runs of bytes in ``letters``.
+
+    A word's hash is a polynomial of its bytes, got from running sums over the whole text.
+    """
+    data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = letters[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    powers, inverse = _powers(max(16, len(data).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * powers[: len(data)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * inverse[starts])

@@ -1,31 +1,29 @@
 """Benchmark passages in documents: CGK embeddings, repeated bit sampling, exact edit distance.
 
-Texts are sequences of words (runs of letters and digits in lower case), and an edit puts in, takes
+Texts are sequences of words (runs of letters, digits and characters beyond ASCII, in lower case), and an edit puts in, takes
 out or replaces one word.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import defaultdict
 from collections.abc import Callable
 from functools import reduce
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import whole_text, word_hash
+from tripmart.llm.common import ALPHANUMERIC, mixed, whole_text, word_hashes
 from tripmart.session import materialize
 
-WORD = re.compile(r"\w+")
 MAX_EDITS = 0.2
 SEED = 3
 SAMPLED = 2
 TARGET_RECALL = 0.99
+MARKS = 1 << 20
 MAX_REPETITIONS = 64
 TRIALS, WALKS = 200, 4
 #: Bytes of benchmark text that one pass holds in each task; a larger benchmark takes several passes.
@@ -91,13 +89,13 @@ def _edited(rng: np.random.Generator, item: np.ndarray, edits: int) -> np.ndarra
     return np.array(out, np.uint64)
 
 
-def _runs(codes: np.ndarray) -> np.ndarray:
-    """A key for every run of ``SEED`` codes."""
-    n = max(0, len(codes) - SEED + 1)
+def _runs(words: np.ndarray) -> np.ndarray:
+    """A key for every run of ``SEED`` words."""
+    n = max(0, len(words) - SEED + 1)
     keys = np.zeros(n, np.uint64)
     for at in range(SEED):
-        keys = (keys + codes[at : at + n].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    return keys
+        keys = (keys + words[at : at + n]) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed(keys)
 
 
 def _laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,20 +109,24 @@ class Items:
 
     def __init__(self, items: list[tuple[object, str]], share: float = MAX_EDITS, target: float = TARGET_RECALL):
         self.share = share
-        split = [(item_id, WORD.findall(text.lower())) for item_id, text in items]
-        split = [(item_id, tokens) for item_id, tokens in split if tokens]
-        self.ids = [item_id for item_id, _ in split]
-        self.words = [np.array([word_hash(w) for w in tokens], np.uint64) for _, tokens in split]
-        self.code = {w: at for at, w in enumerate(sorted({w for _, tokens in split for w in tokens}))}
-        self.seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.first: dict[int, list[int]] = defaultdict(list)
-        for item, (_, tokens) in enumerate(split):
-            codes = np.array([self.code[w] for w in tokens], np.int64)
-            if len(codes) < SEED:
-                self.first[int(codes[0])].append(item)
-            for offset, key in enumerate(_runs(codes).tolist()):
-                self.seeds[key].append((item, offset))
-        self.keys = np.array(sorted(self.seeds), np.uint64)
+        split = [(item_id, word_hashes(text, ALPHANUMERIC)) for item_id, text in items]
+        self.ids = [item_id for item_id, words in split if len(words)]
+        self.words = [words for _, words in split if len(words)]
+        self.edits = np.array([allowed_edits(len(words), share) for words in self.words], np.int64)
+        self.needed = np.array([max(1, len(w) - SEED + 1 - SEED * int(k)) for w, k in zip(self.words, self.edits, strict=True)])
+        self.short = [item for item, words in enumerate(self.words) if len(words) < SEED]
+        keys, items_of, offsets = [np.zeros(0, np.uint64)], [], []
+        for item, words in enumerate(self.words):
+            keys.append(_runs(words))
+            items_of += [item] * len(keys[-1])
+            offsets += range(len(keys[-1]))
+        joined = np.concatenate(keys)
+        order = np.argsort(joined, kind="stable")
+        self.run_item, self.run_offset = np.array(items_of, np.int64)[order], np.array(offsets, np.int64)[order]
+        self.keys, self.list_starts, counts = np.unique(joined[order], return_index=True, return_counts=True)
+        self.list_ends = self.list_starts + counts
+        self.marked = np.zeros(MARKS, bool)
+        self.marked[self.keys & np.uint64(MARKS - 1)] = True
         self.repetitions = self._repetitions(target)
         self.sketches = [self._sketches_of_all(r) for r in range(self.repetitions)]
 
@@ -155,39 +157,51 @@ class Items:
     def _sketch(words: np.ndarray, starts: np.ndarray, length: int, repetition: int) -> np.ndarray:
         return embed(words, starts, length, repetition)[:, sampled_places(length, repetition)]
 
-    def _windows(self, codes: np.ndarray) -> dict[int, set[int]]:
-        """By item, where its windows start: a run of its words stands there at the place that it has in the item.
+    def _windows(self, words: np.ndarray) -> dict[int, np.ndarray]:
+        """By item, where its windows start: enough runs of its words stand there, each at its place in the item.
 
-        An item within its edits keeps such a run, so no window is lost.
+        One edit changes ``SEED`` runs of an item at most and moves the others by one place at most, so a
+        stretch within an item's edits keeps the rest of them at places as many apart as it has edits.
         """
-        found: dict[int, set[int]] = defaultdict(set)
-        known = codes >= 0
-        if len(codes) >= SEED:
-            runs = np.flatnonzero(np.logical_and.reduce([known[at : len(codes) - SEED + 1 + at] for at in range(SEED)]))
-            keys = _runs(codes)[runs]
-            place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1) if len(self.keys) else []
-            hits = np.flatnonzero(self.keys[place] == keys) if len(self.keys) else []
-            for hit in hits:
-                for item, offset in self.seeds[int(keys[hit])]:
-                    found[item].add(int(runs[hit]) - offset)
-        for code, items in self.first.items():
-            for start in np.flatnonzero(codes == code).tolist():
-                for item in items:
-                    found[item].add(start)
+        found: dict[int, np.ndarray] = {}
+        keys = _runs(words)
+        runs = np.flatnonzero(self.marked[keys & np.uint64(MARKS - 1)])
+        if len(runs):
+            keys = keys[runs]
+            place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            hits = np.flatnonzero(self.keys[place] == keys)
+            lists = place[hits]
+            sizes = self.list_ends[lists] - self.list_starts[lists]
+            within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            entries = np.repeat(self.list_starts[lists], sizes) + within
+            items, starts = self.run_item[entries], np.repeat(runs[hits], sizes) - self.run_offset[entries]
+            order = np.lexsort((starts, items))
+            items, starts = items[order], starts[order]
+            first = np.arange(len(items))
+            last = first + self.needed[items] - 1
+            inside = last < len(items)
+            first, last = first[inside], last[inside]
+            near = (items[first] == items[last]) & (starts[last] - starts[first] <= self.edits[items[first]])
+            opened = np.zeros(len(items) + 1, np.int64)
+            np.add.at(opened, first[near], 1)
+            np.add.at(opened, last[near] + 1, -1)
+            opened = np.flatnonzero(np.cumsum(opened[:-1]) > 0)
+            for item in np.unique(items[opened]).tolist():
+                found[item] = np.unique(starts[opened][items[opened] == item])
+        for item in self.short:
+            begins = np.flatnonzero(words == self.words[item][0])
+            if len(begins):
+                found[item] = begins
         return found
 
     def matches(self, text: str) -> list[tuple[object, int, int, int]]:
         """Item, edits, length of the item, and place of the last word of the nearest stretch."""
-        tokens = WORD.findall(text.lower())
-        codes = np.fromiter(map(self.code.get, tokens, repeat(-1)), np.int64, len(tokens))
-        windows = self._windows(codes)
-        if not windows:
-            return []
-        hashed, out = np.array([word_hash(w) for w in tokens], np.uint64), []
+        hashed, out = word_hashes(text, ALPHANUMERIC), []
+        windows = self._windows(hashed)
         for item, starts in windows.items():
             words = self.words[item]
-            n, edits = len(words), allowed_edits(len(words), self.share)
-            begin = np.unique(np.clip(np.array(sorted(starts), np.int64), 0, len(hashed) - 1))
+            n, edits = len(words), int(self.edits[item])
+            begin = np.unique(np.clip(starts, 0, len(hashed) - 1))
             collided = np.zeros(len(begin), bool)
             for repetition in range(self.repetitions):
                 rest = np.flatnonzero(~collided)
@@ -220,8 +234,8 @@ def contaminations(
 
     An item is found if some stretch of the document is at most ``share`` of the item's words away
     from it in edit distance (exactly equal for items of up to five words); ``edits`` is the smallest
-    distance met. Windows of the item's length are opened where a run of three of its words stands
-    at its place, which any such stretch has; window and item are embedded by random walks, and where
+    distance met. Windows of the item's length are opened where as many runs of three of its words
+    stand at their places as such a stretch must have, so that none is lost; window and item are embedded by random walks, and where
     sampled coordinates agree in one of the repetitions, the distance is computed. The number of
     repetitions is what the target recall takes for the items at hand.
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import Memo, checkpointed, whole_text, word_hash
+from tripmart.llm.common import NOT_SPACE, checkpointed, mixed, whole_text, word_hashes
 from tripmart.llm.components import connected_components
 from tripmart.session import materialize
 
@@ -21,7 +21,6 @@ TARGET_RECALL = 0.995
 BLOCK = 512
 COLUMNS_AT_ONCE = 4096
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_FINAL = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def expected_recall(depth: int, threshold: float = THRESHOLD, trees: int = TREES) -> float:
@@ -37,26 +36,14 @@ def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, target: float
     return depth
 
 
-def _mixed(values: np.ndarray) -> np.ndarray:
-    values = values ^ (values >> np.uint64(29))
-    values = values * _FINAL
-    return values ^ (values >> np.uint64(32))
-
-
-@cache
-def _word_hashes() -> Memo:
-    return Memo(word_hash)
-
-
 def shingles(text: str, ngram: int = NGRAM) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the n-grams of the lower-cased words; a shorter text is one n-gram."""
-    words = text.lower().split()
-    hashes = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words))
+    hashes = word_hashes(text, NOT_SPACE)
     size = max(len(hashes) - ngram + 1, min(len(hashes), 1))
-    found = np.full(size, len(hashes) if len(hashes) < ngram else ngram, np.uint64)
+    found = np.full(size, min(len(hashes), ngram), np.uint64)
     for at in range(min(ngram, len(hashes))):
-        found = _mixed(found * _MIX + hashes[at : at + size])
-    return np.unique(found)
+        found = found * _MIX + hashes[at : at + size]
+    return np.unique(mixed(found))
 
 
 @cache
@@ -71,10 +58,10 @@ def prefixes(found: np.ndarray, trees: int = TREES, depth: int = FULL_DEPTH) ->
         return np.zeros(0, np.int64)
     lows = np.empty(trees * depth, np.uint64)
     for at, multiplier in enumerate(_multipliers(trees, depth)):
-        lows[at] = _mixed(found * multiplier).min()
+        lows[at] = (found * multiplier).min()
     keys = np.zeros(trees, np.uint64)
     for column in lows.reshape(trees, depth).T:
-        keys = _mixed(keys * _MIX + column)
+        keys = mixed(keys * _MIX + column)
     return keys.view(np.int64)
 
 
