@@ -141,6 +141,13 @@ def amount_quantiles_by_cutting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def approximate_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles from the sketch alone, with as much accuracy as the largest group has rows, which makes them exact."""
+    events = _events(spark, sf_dir)
+    found = distribution.approximate_quantiles(events, "event_type", "value", [0.25, 0.5, 0.75], accuracy=1_000_000)
+    return found.select("event_type", "n", *[F.col("q")[i].alias(name) for i, name in enumerate(["q1", "q2", "q3"])])
+
+
 def amount_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution.monthly_histogram(_table(spark, sf_dir, "orders"), ORDERS.pickup, ORDERS.amount, 50_000.0)
 
@@ -204,21 +211,35 @@ def _before(trips: DataFrame, year: int) -> Column:
     return F.year("tpep_pickup_datetime") < year
 
 
-def _land_drifting(spark: SparkSession, sf_dir: str) -> str:
+def _drifting(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Months of lineitem in three schemas: other types of passenger_count, one column more or renamed."""
-    root = scratch_dir(spark, "landing")
     trips = _trips(spark, sf_dir, "lineitem")
     early, late = _before(trips, 1997), ~_before(trips, 2000)
     count = F.col("passenger_count")
-    for rows, passengers, extra in [
-        (trips.filter(early), count.cast("int"), []),
-        (trips.filter(~early & ~late), count.cast("bigint"), [F.lit(1.5).alias("Airport_fee")]),
-        (trips.filter(late), count, [F.lit(2.5).alias("airport_fee")]),
-    ]:
-        _land(rows.withColumn("passenger_count", passengers).select("*", *extra), root, "lineitem_trips")
+    return [
+        trips.filter(early).withColumn("passenger_count", count.cast("int")),
+        trips.filter(~early & ~late).withColumns({"passenger_count": count.cast("bigint"), "Airport_fee": F.lit(1.5)}),
+        trips.filter(late).withColumns({"passenger_count": count + 0.25, "airport_fee": F.lit(2.5)}),
+    ]
+
+
+def _land_drifting(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_dir(spark, "landing")
+    for part in _drifting(spark, sf_dir):
+        _land(part, root, "lineitem_trips")
     return root
 
 
+def _drift_sums(rows: DataFrame) -> DataFrame:
+    """What must be the same however the months' types came together."""
+    return rows.groupBy("source_date").agg(
+        F.count("*").alias("n_trips"),
+        round_half_up(F.sum("passenger_count").cast("double")).alias("passengers"),
+        F.sum("airport_fee").alias("airport_fees"),
+        round_half_up(F.sum("total_amount")).alias("amount"),
+    )
+
+
 def schema_drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.schema_report(spark, _land_drifting(spark, sf_dir))
 
@@ -312,8 +333,15 @@ def run_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _by_month(rows: DataFrame) -> DataFrame:
+    pickup = wall_clock(rows, "tpep_pickup_datetime")
     return rows.groupBy("source_date").agg(
-        F.count("*").alias("n_trips"), F.sum("trip_id").alias("id_sum"), round_half_up(F.sum("total_amount")).alias("amount")
+        F.count("*").alias("n_trips"),
+        F.sum("trip_id").alias("id_sum"),
+        F.sum("VendorID").cast("bigint").alias("vendor_sum"),
+        F.min(pickup).cast("string").alias("first_pickup"),
+        F.max(pickup).cast("string").alias("last_pickup"),
+        F.sum(F.datediff(pickup, F.lit("1990-01-01"))).cast("bigint").alias("pickup_days"),
+        round_half_up(F.sum("total_amount")).alias("amount"),
     )
 
 
@@ -412,6 +440,118 @@ def publish_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def publish_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Early months in whole numbers, later ones with fractions: the table's types widen, and no amount is cut."""
+    database, place = _database(spark)
+    rows = conform.conform(readers.read_landed(spark, _landed(spark, sf_dir, "lineitem")), RUN_DATE)
+    table, early = f"{database}.lineitem_trips", F.col("source_date") < "1998-01"
+    whole = {"total_amount": F.col("total_amount").cast("int"), "passenger_count": F.col("passenger_count").cast("bigint")}
+    for part in (rows.filter(early).withColumns(whole), rows.filter(~early)):
+        catalog.publish(spark, part, table, f"{place}/tables/lineitem_trips")
+    return spark.table(table).groupBy("source_date").agg(
+        F.count("*").alias("n_trips"),
+        round_half_up(F.sum("passenger_count")).alias("passengers"),
+        round_half_up(F.sum("total_amount")).alias("amount"),
+    )
+
+
+def _run_by_run(spark: SparkSession, sf_dir: str, load: Callable[[str], object]) -> None:
+    """Each schema of the drifting months landed and loaded in a run of its own."""
+    for part in _drifting(spark, sf_dir):
+        landed = scratch_dir(spark, "landing")
+        _land(part, landed, "lineitem_trips")
+        load(landed)
+
+
+def register_drifting_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staging zone that three runs of differing schemas wrote, as a table."""
+    root, (database, _) = scratch_dir(spark, "zones"), _database(spark)
+
+    def load(landed: str) -> None:
+        etl.load_zones(spark, landed, f"{root}/staging", f"{root}/production", "lineitem_trips", integers=[], run_date=RUN_DATE)
+        catalog.register_zone(spark, database, f"{root}/staging")
+
+    _run_by_run(spark, sf_dir, load)
+    return _drift_sums(spark.table(f"{database}.lineitem_trips"))
+
+
+def publish_all_drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Production months that were written in three schemas, published in one go."""
+    root, (staging_db, _), (target_db, place) = scratch_dir(spark, "zones"), _database(spark), _database(spark)
+    for part in _drifting(spark, sf_dir):
+        label = month_label(month_start(part, "tpep_pickup_datetime"))
+        dated = part.withColumns({"source_date": label, "period": F.replace(label, F.lit("-"), F.lit("_"))})
+        sinks.write_partitions(dated, f"{root}/production/lineitem_trips_parquet", ["period"], rebalance=True)
+    spark.sql(f"CREATE TABLE {staging_db}.lineitem_trips (trip_id bigint) USING parquet")
+    (table,) = catalog.publish_all(spark, staging_db, target_db, f"{root}/production", f"{place}/tables")
+    return _drift_sums(spark.table(table))
+
+
+def etl_month_by_month_drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three whole runs into the same zones and table, each with another schema."""
+    database, place = _database(spark)
+    columns = ["trip_id", "VendorID", "tpep_pickup_datetime", "passenger_count", "total_amount", "airport_fee", "source_date"]
+
+    def load(landed: str) -> None:
+        etl.run_etl(
+            spark, landed, place, database, ["lineitem_trips"], columns=columns, integers=[], run_date=RUN_DATE, ignore_case=True
+        )
+
+    _run_by_run(spark, sf_dir, load)
+    return _drift_sums(spark.table(f"{database}.lineitem_trips"))
+
+
+def _link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page per table with a link to the file of each month, as a site would offer them."""
+    pages = []
+    for number, table in enumerate(("orders", "lineitem")):
+        trips = _trips(spark, sf_dir, table)
+        link = F.concat(F.lit('<a href="files/'), _object_name(trips, f"{table}_trips"), F.lit(f'">{table} trip records</a>'))
+        links_of = trips.select(link.alias("link")).distinct()
+        html = F.array_join(F.sort_array(F.collect_list("link")), " ")
+        pages.append(links_of.agg(F.lit(number).cast("bigint").alias("page_id"), html.alias("html")))
+    return pages[0].unionByName(pages[1])
+
+
+RUN_MONTHS = ["1996-01", "1996-02", "1997-05"]
+
+
+def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, landed files, zones, registered staging and published tables in one job, for some months."""
+    landed, root = _landed(spark, sf_dir, "orders", "lineitem"), scratch_dir(spark, "run")
+    staging_db, target_db = (f"tripmart_{root.rsplit('-', 1)[1]}_{part}" for part in ("staging", "target"))
+    run = etl.run_all(
+        spark, _link_pages(spark, sf_dir), ["page_id"], landed, root, staging_db, target_db,
+        ["Orders Trip Records", "Lineitem Trip Records"], RUN_MONTHS, run_date=RUN_DATE,
+        columns=["trip_id", "VendorID", "tpep_pickup_datetime", "passenger_count", "total_amount", "source_date"],
+    )
+    counted = [_by_month(spark.table(t)).withColumn("table_name", F.lit(t.split(".")[1])) for t in run.tables]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _fetch_plan(spark: SparkSession, sf_dir: str) -> etl.FetchPlan:
+    """The months of both tables are offered, those of orders have landed."""
+    landed = landing.manifest(spark, _landed(spark, sf_dir, "orders"))
+    categories = ["Orders Trip Records", "Lineitem Trip Records", "No Such Records"]
+    return etl.plan_fetch(_link_pages(spark, sf_dir), ["page_id"], landed, categories, RUN_MONTHS)
+
+
+def plan_to_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fetch_plan(spark, sf_dir).to_fetch.select("dataset", "file_name", "href")
+
+
+def plan_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fetch_plan(spark, sf_dir).missing
+
+
+def monthly_sql_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly report as SQL over a published table of instants."""
+    database, place = _database(spark)
+    rows = conform.conform(readers.read_landed(spark, _landed(spark, sf_dir, "lineitem")), RUN_DATE)
+    catalog.publish(spark, conform.production_rows(rows), f"{database}.lineitem_trips", f"{place}/tables/lineitem_trips")
+    return reports.run_monthly_sql(spark, f"{database}.lineitem_trips", scratch_dir(spark, "reports"))
+
+
 def etl_monthly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From landed files with drifting schemas through all zones to the report on the published table."""
     database, place = _database(spark)
@@ -505,7 +645,16 @@ def incremental_load_drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed, target = _land_drifting(spark, sf_dir), scratch_dir(spark, "incremental")
     for _ in range(2):
         incremental.stream_drifting(spark, landed, target, {"passenger_count": "int"}, RUN_DATE, files_per_batch=50)
-    return _by_month(incremental.read_loaded(spark, target))
+    return _drift_sums(incremental.read_loaded(spark, target))
+
+
+def incremental_runs_drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs: the second adds a column, and the second and third widen another."""
+    landed, target = scratch_dir(spark, "landing"), scratch_dir(spark, "incremental")
+    for part in _drifting(spark, sf_dir):
+        _land(part, landed, "lineitem_trips")
+        incremental.stream_drifting(spark, landed, target, run_date=RUN_DATE)
+    return _drift_sums(incremental.read_loaded(spark, target))
 
 
 QUERIES = [
@@ -541,6 +690,15 @@ QUERIES = [
     publish_rerun,
     publish_append,
     publish_evolving,
+    publish_widening,
+    register_drifting_zone,
+    publish_all_drifting,
+    etl_month_by_month_drifting,
+    whole_run,
+    plan_to_fetch,
+    plan_missing,
+    monthly_sql_report,
+    approximate_quantiles,
     register_landed_dir,
     publish_all_tables,
     etl_monthly_report,
@@ -556,6 +714,7 @@ QUERIES = [
     missing_categories_by_page,
     incremental_load,
     incremental_load_drifting,
+    incremental_runs_drifting,
 ]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 
 def _round(x: str) -> str:
     """Half up to two digits, after ten, as the reports round."""
@@ -13,9 +15,19 @@ def _month(ts: str) -> str:
 
 
 def _decode(text: str) -> str:
-    for entity, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{character}')"
-    return text
+    """References of the standard's table and numeric ones, each decoded once, by a walk over the pieces."""
+    pattern = "&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+    named = [(f"&{name}", value) for name, value in html5.items() if name.endswith(";")]
+    quoted = [", ".join("'" + x.replace("'", "''") + "'" for x in column) for column in zip(*named)]
+    table = f"map([{quoted[0]}], [{quoted[1]}])"
+    digits = "ltrim(regexp_replace(r, '[&#xX;]', '', 'g'), '0')"
+    value = f"CASE WHEN r[3] IN ('x', 'X') THEN try_cast('0x' || {digits} AS bigint) ELSE try_cast({digits} AS bigint) END"
+    numeric = f"""
+        CASE WHEN ({value}) BETWEEN 1 AND 55295 OR ({value}) BETWEEN 57344 AND 1114111 THEN chr(({value})::int) ELSE chr(65533) END"""
+    one = f"CASE WHEN r[2] = '#' THEN {numeric} ELSE coalesce({table}[r], r) END"
+    pieces = f"string_split_regex({text}, '{pattern}')"
+    references = f"list_append(list_transform(regexp_extract_all({text}, '{pattern}'), lambda r: {one}), '')"
+    return f"CASE WHEN contains({text}, '&') THEN array_to_string(list_transform(list_zip({pieces}, {references}), lambda z: z[1] || z[2]), '') ELSE {text} END"
 
 
 K = "regexp_extract(props, '([0-9]+)', 1)::int"
@@ -43,16 +55,34 @@ FROM lagged
 
 
 def _by_month(table: str, times: int = 1) -> str:
-    ts, key, amount = {
-        "orders": ("o_orderdate", "o_orderkey", "o_totalprice"),
-        "lineitem": ("l_shipdate", "l_orderkey", "l_extendedprice"),
+    ts, key, amount, vendor = {
+        "orders": ("o_orderdate", "o_orderkey", "o_totalprice", "o_custkey"),
+        "lineitem": ("l_shipdate", "l_orderkey", "l_extendedprice", "l_linenumber"),
     }[table]
     return f"""
 SELECT {_month(ts)} AS source_date, count(*) * {times} AS n_trips, (sum({key}) * {times})::bigint AS id_sum,
+       (sum({vendor}) * {times})::bigint AS vendor_sum,
+       strftime(min({ts}), '%Y-%m-%d %H:%M:%S') AS first_pickup, strftime(max({ts}), '%Y-%m-%d %H:%M:%S') AS last_pickup,
+       (sum(date_diff('day', DATE '1990-01-01', {ts}::date)) * {times})::bigint AS pickup_days,
        {_round(f"sum({amount}) * {times}")} AS amount
 FROM {table} GROUP BY 1"""
 
 
+def _drift_sums(fraction: str = "0.25", cast: str = "") -> str:
+    """Sums of the drifting columns: whole passengers up to 1999, and a fraction more from 2000 on."""
+    return f"""
+SELECT {_month("l_shipdate")} AS source_date, count(*) AS n_trips,
+       {_round(f"sum((trunc(l_quantity) + CASE WHEN year(l_shipdate) >= 2000 THEN {fraction} ELSE 0 END){cast})")} AS passengers,
+       sum(CASE WHEN year(l_shipdate) >= 2000 THEN 2.5::double WHEN year(l_shipdate) >= 1997 THEN 1.5::double END) AS airport_fees,
+       {_round("sum(l_extendedprice)")} AS amount
+FROM lineitem GROUP BY 1"""
+
+
+OFFERED = f"""
+(SELECT DISTINCT 'orders_trips' AS dataset, {_month("o_orderdate")} AS month FROM orders
+ UNION ALL SELECT DISTINCT 'lineitem_trips', {_month("l_shipdate")} FROM lineitem)"""
+RUN_MONTHS = "('1996-01', '1996-02', '1997-05')"
+
 BOTH_TABLES = f"""
 SELECT *, 'lineitem_trips' AS table_name FROM ({_by_month("lineitem")})
 UNION ALL
@@ -276,5 +306,31 @@ ORACLES: dict[str, str] = {
     "missing_categories_by_page": f"""
         SELECT page_id, category FROM {PAGE_TEXT}, {CATEGORIES} WHERE NOT contains(text, lower(category))""",
     "incremental_load": _by_month("orders"),
-    "incremental_load_drifting": _by_month("lineitem"),
+    "incremental_load_drifting": _drift_sums("0"),
+    "incremental_runs_drifting": _drift_sums(),
+    "publish_widening": f"""
+        SELECT {_month("l_shipdate")} AS source_date, count(*) AS n_trips, {_round("sum(l_quantity)")} AS passengers,
+               {_round("sum(CASE WHEN year(l_shipdate) < 1998 THEN trunc(l_extendedprice) ELSE l_extendedprice END)")} AS amount
+        FROM lineitem GROUP BY 1""",
+    "register_drifting_zone": _drift_sums(),
+    "publish_all_drifting": _drift_sums(),
+    "etl_month_by_month_drifting": _drift_sums(),
+    "whole_run": f"SELECT * FROM ({BOTH_TABLES}) WHERE source_date IN {RUN_MONTHS}",
+    "plan_to_fetch": f"""
+        SELECT dataset, dataset || '_' || month || '.parquet' AS file_name, 'files/' || dataset || '_' || month || '.parquet' AS href
+        FROM {OFFERED} WHERE dataset = 'lineitem_trips' AND month IN {RUN_MONTHS}""",
+    "plan_missing": f"""
+        SELECT page_id, category, period
+        FROM (VALUES (0::bigint, 'Orders Trip Records', 'orders_trips'), (0, 'Lineitem Trip Records', NULL),
+                     (0, 'No Such Records', NULL), (1, 'Orders Trip Records', NULL),
+                     (1, 'Lineitem Trip Records', 'lineitem_trips'), (1, 'No Such Records', NULL)) t(page_id, category, dataset),
+             (SELECT unnest({RUN_MONTHS.replace("(", "[").replace(")", "]")}) AS period)
+        WHERE NOT EXISTS (SELECT 1 FROM {OFFERED} o WHERE o.dataset = t.dataset AND o.month = period)""",
+    "monthly_sql_report": f"""
+        SELECT {_month("l_shipdate")} AS month, {_round("avg(trunc(l_quantity)::int)")} AS average_passenger_count
+        FROM lineitem GROUP BY 1""",
+    "approximate_quantiles": """
+        SELECT event_type, count(value) AS n, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.5) AS q2,
+               quantile_disc(value, 0.75) AS q3
+        FROM events GROUP BY 1""",
 }

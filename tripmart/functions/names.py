@@ -11,11 +11,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _folder_name(file_path: Column) -> Column:
+    """Name of the folder that holds the file; empty for a bare file name."""
+    last_two = F.substring_index(file_path, "/", -2)
+    return F.when(F.contains(last_two, F.lit("/")), F.substring_index(last_two, "/", 1)).otherwise("")
+
+
 def object_path(file_path: Column) -> Column:
-    """Path of the object which a data file belongs to."""
-    in_folder = F.contains(file_path, F.lit(".parquet/"))
-    folder = F.concat(F.substring_index(file_path, ".parquet/", 1), F.lit(".parquet"))
-    return F.when(in_folder, folder).otherwise(file_path)
+    """Path of the object which a data file belongs to: the folder it lies in, if that is named as one."""
+    folder = F.left(file_path, F.length(file_path) - F.length(F.substring_index(file_path, "/", -1)) - 1)
+    return F.when(F.endswith(_folder_name(file_path), F.lit(".parquet")), folder).otherwise(file_path)
 
 
 def object_name(path: Column) -> Column:
@@ -24,7 +29,9 @@ def object_name(path: Column) -> Column:
 
 def source_date(path: Column) -> Column:
     """Period of the object, from its path or that of a file in it: last ``_`` token before the suffix."""
-    stem = F.substring_index(F.substring_index(path, ".parquet", 1), "/", -1)
+    folder = _folder_name(path)
+    name = F.when(F.endswith(folder, F.lit(".parquet")), folder).otherwise(F.substring_index(path, "/", -1))
+    stem = F.substring_index(name, ".parquet", 1)
     return F.substring_index(F.substring_index(stem, "_", -1), ".", -1)
 
 

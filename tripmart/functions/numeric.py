@@ -16,5 +16,9 @@ def round_half_up(value: Column, digits: int = 2) -> Column:
 
 
 def to_int(value: Column) -> Column:
-    """Truncates toward zero; NULL where the value has no place in an int."""
-    return value.try_cast("int")
+    """Truncates toward zero, text such as ``1.0`` too; NULL where the value has no place in an int."""
+    return F.coalesce(value.try_cast("int"), value.try_cast("double").try_cast("int"))
+
+
+def try_cast(value: Column, kind: str) -> Column:
+    return to_int(value) if kind in ("int", "integer") else value.try_cast(kind)

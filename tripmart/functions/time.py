@@ -21,11 +21,16 @@ def _type(df: DataFrame, name: str) -> T.DataType:
     return df.select(name).schema[0].dataType
 
 
+def wall_clock_sql(df: DataFrame, name: str) -> str:
+    """The column as TIMESTAMP_NTZ, as SQL text."""
+    if isinstance(_type(df, name), T.TimestampType):
+        return f"timestampadd(MICROSECOND, unix_micros(`{name}`), {EPOCH})"
+    return f"CAST(`{name}` AS TIMESTAMP_NTZ)"
+
+
 def wall_clock(df: DataFrame, name: str) -> Column:
     """The column as TIMESTAMP_NTZ."""
-    if isinstance(_type(df, name), T.TimestampType):
-        return F.expr(f"timestampadd(MICROSECOND, unix_micros(`{name}`), {EPOCH})")
-    return F.col(name).cast("timestamp_ntz")
+    return F.expr(wall_clock_sql(df, name))
 
 
 def utc_instant(df: DataFrame, name: str) -> Column:

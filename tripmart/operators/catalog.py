@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.session import dynamic_overwrite
+from tripmart.operators.schemas import SchemaConflictError, resolved, widened
+from tripmart.session import delete_folder, dynamic_overwrite
 from tripmart.sources.landing import manifest
-from tripmart.sources.readers import partition_folders, read_zone, require_rows, scan_recursive
+from tripmart.sources.readers import EmptySourceError, partition_folders, read_objects, read_zone, require_rows, zone_groups
 
 PARTITION = "source_date"
 PERIOD = "period"
@@ -36,19 +38,51 @@ def _add_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
 
 
 def _aligned(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """The rows in the table's columns, NULL where they have none; ``insertInto`` goes by position."""
+    """The rows in the table's columns and types, NULL where they have none; ``insertInto`` goes by position."""
     present = {c.lower() for c in rows.columns}
     return rows.select(
-        *[F.col(f.name) if f.name.lower() in present else F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema]
+        *[
+            F.col(f.name).cast(f.dataType).alias(f.name) if f.name.lower() in present else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in table.schema
+        ]
     )
 
 
+def check_types(spark: SparkSession, table: str, new: T.StructType) -> dict[str, T.DataType]:
+    """Type of each column of a table and of new rows together; raises before anything is written if there is none."""
+    known = spark.table(table).schema if spark.catalog.tableExists(table) else T.StructType()
+    return resolved(known, new, table)
+
+
+def _rebuild(spark: SparkSession, rows: DataFrame, table: str, location: str, types: dict, append: bool, create) -> None:
+    """The table anew, at a location of its own, in wider types: its rows less the months replaced, and the new ones."""
+    old = spark.table(table)
+    if not append:
+        kept_by = PARTITION in old.columns and PARTITION in rows.columns
+        old = old.join(rows.select(PARTITION).distinct(), PARTITION, "left_anti") if kept_by else old.limit(0)
+    both = widened(old, types, table).unionByName(rows, allowMissingColumns=True)
+    both = both.select(*[c for c in both.columns if c != PARTITION], *([PARTITION] if PARTITION in both.columns else []))
+    anew = f"{table}_{uuid.uuid4().hex[:8]}"
+    create(both, anew, f"{location.rstrip('/')}-{uuid.uuid4().hex[:8]}")
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {anew} RENAME TO {table}")
+
+
 def register_folder(spark: SparkSession, table: str, path: str) -> None:
     """A landed folder as a table, its columns taken from the files and its partitions from the folders.
 
-    A table that exists picks up new partitions and new columns.
+    A table that exists picks up new partitions and new columns; one whose types the zone has outgrown is
+    defined anew, as it holds no rows of its own. A folder in which a column has two types is refused,
+    as a table could not be read over it.
     """
+    groups = zone_groups(spark, path)
+    if len(groups) > 1:
+        raise SchemaConflictError(f"{path} holds columns of several types; write it with write_zone")
     schema = read_zone(spark, path).schema
+    if spark.catalog.tableExists(table):
+        known = {f.name.lower(): f.dataType for f in spark.table(table).schema}
+        if any(known.get(f.name.lower(), f.dataType) != f.dataType for f in schema):
+            spark.sql(f"DROP TABLE {table}")
     if not spark.catalog.tableExists(table):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         in_files = spark.read.option("recursiveFileLookup", "true").parquet(path).columns
@@ -87,48 +121,80 @@ def publish(
     properties: dict[str, str] | None = None,
     append: bool = False,
     rebalance: bool = False,
+    months: list[str] | None = None,
 ) -> DataFrame:
     """Create the table, or load into it; returns the published table.
 
     The table is partitioned by ``source_date`` from its creation on if the rows have that column.
     A later run replaces the months it brings, so that running twice changes nothing; ``append``
     adds them instead. Rows read from monthly files come month by month and are written where they
-    are; ``rebalance`` is for rows in no such order. New columns are added to the table, columns the
-    rows lack are NULL, and a type that the table's cannot hold raises.
+    are; ``rebalance`` is for rows in no such order. ``months`` names further months that the rows stand
+    for: those without rows are emptied. New columns are added to the table, and columns the rows
+    lack are NULL. Rows of a narrower type are cast; if they need a wider one than the table has, it is
+    written anew with it beside ``location``; types that have none in common raise before any change.
     """
-    require_rows(rows, f"the source of {table}")
+    if months is None or not spark.catalog.tableExists(table):
+        require_rows(rows, f"the source of {table}")
     partitioned = PARTITION in rows.columns
     if rebalance and partitioned:
         rows = rows.hint("rebalance", PARTITION)
-    if not spark.catalog.tableExists(table):
+
+    def create(rows: DataFrame, table: str, location: str) -> None:
         writer = rows.writeTo(table).using(fmt)
         writer = writer.option("path", location) if fmt in FILE_FORMATS else writer.tableProperty("location", location)
         for key, value in (properties or {}).items():
             writer = writer.tableProperty(key, value)
         (writer.partitionedBy(F.col(PARTITION)) if partitioned else writer).create()
+
+    if not spark.catalog.tableExists(table):
+        create(rows, table, location)
         return spark.table(table)
-    _add_columns(spark, table, rows.schema)
-    aligned = _aligned(rows, spark.table(table))
-    if append:
-        aligned.write.insertInto(table)
+    types = check_types(spark, table, rows.schema)
+    rows = widened(rows, types, table)
+    if any(types[f.name.lower()] != f.dataType for f in spark.table(table).schema):
+        _rebuild(spark, rows, table, location, types, append, create)
     else:
-        with dynamic_overwrite(spark):
-            aligned.write.insertInto(table, overwrite=True)
+        _add_columns(spark, table, rows.schema)
+        aligned = _aligned(rows, spark.table(table))
+        if append:
+            aligned.write.insertInto(table)
+        else:
+            with dynamic_overwrite(spark):
+                aligned.write.insertInto(table, overwrite=True)
+    if months and partitioned and not append:
+        _empty_months(spark, table, months, rows)
     return spark.table(table)
 
 
+def _empty_months(spark: SparkSession, table: str, months: list[str], rows: DataFrame) -> None:
+    """Take out the partitions of the months that brought no rows."""
+    brought = {row[0] for row in rows.select(PARTITION).distinct().toLocalIterator()}
+    for month in sorted(set(months) - brought):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = '{month}')")
+        where = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()
+        if where:
+            delete_folder(spark, f"{where.data_type}/{PARTITION}={month}")
+
+
 def publish_folder(
     spark: SparkSession, source: str, table: str, location: str, months: list[str] | None = None, **options
 ) -> DataFrame:
     """Publish a production folder: all files below it, or the ``period`` folders of some months.
 
-    A month without rows has no folder, and leaves the table as it is.
+    Periods written by different runs may differ in schema and are read by groups. A month of
+    ``months`` without a folder is emptied in the table.
     """
-    folders = [source]
+    folders = partition_folders(spark, source, PERIOD)
     if months is not None:
         wanted = {month.replace("-", "_") for month in months}
-        folders = [f for f in partition_folders(spark, source, PERIOD) if f.rsplit("=", 1)[-1] in wanted]
-    return publish(spark, scan_recursive(spark, *folders), table, location, **options)
+        folders = [f for f in folders if f.rsplit("=", 1)[-1] in wanted]
+    if not folders:
+        if not spark.catalog.tableExists(table):
+            raise EmptySourceError(f"no rows in {source}")
+        return publish(spark, spark.table(table).limit(0), table, location, months=months, **options)
+    # the files' own data_source is that of the landed file
+    rows = read_objects(spark, folders, with_source=False)
+    return publish(spark, rows, table, location, months=months, **options)
 
 
 def publish_all(

@@ -85,31 +85,18 @@ def _at_ranks(rows: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def quantiles(
-    df: DataFrame, group: str, value: str, probs: list[float], values_per_task: int = VALUES_PER_TASK
-) -> DataFrame:
-    """Exact interpolated quantiles per group: the group, n and the array ``q``; NULLs are ignored.
+def _of_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    own, same = _same_cell(groups.select("grp", "cell"))
+    return rows.join(own, same, "left_semi")
 
-    ``percentile`` keeps every distinct value of a group in one task's memory. Here a group too
-    large for one task is cut first: a mergeable sketch proposes where, and the exact counts between
-    the cuts tell which part holds a wanted rank, however well or badly the sketch did. What is left
-    is a narrow part around each rank, counted per distinct value, and cut again while it is too
-    large.
-    """
-    rows = df.select(F.col(group).alias("grp"), F.col(value).cast("double").alias("value")).filter("value IS NOT NULL")
-    rows = rows.withColumn("cell", F.lit("")).withColumn("n", F.lit(1).cast("bigint"))
 
+def _cut(rows: DataFrame, groups: DataFrame, probs: list[float], values_per_task: int) -> list[DataFrame]:
+    """The values at the wanted ranks of groups that are too large for one task."""
     margin = 4 / CUT_ACCURACY
     cuts = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
-    ranks = F.array(*[f(_rank(p, F.col("total"))).cast("bigint") for p in probs for f in (F.floor, F.ceil)])
-    head = rows.groupBy("grp", "cell").agg(F.count("*").alias("total"), _sketch("value", cuts).alias("splitters"))
-    targets = materialize(
-        head.select(
-            "*", F.col("total").alias("size"), F.lit(0).cast("bigint").alias("below"), F.array_distinct(ranks).alias("ranks")
-        ),
-        "quantile-cuts",
-    )
-    found = []
+    head, same = _same_cell(rows.groupBy("grp", "cell").agg(_sketch("value", cuts).alias("splitters")))
+    targets = groups.withColumn("size", F.col("total")).join(head, same).drop("o_grp", "o_cell")
+    targets, found = materialize(targets, "quantile-cuts"), []
     while (targets.agg(F.max("size")).first()[0] or 0) > values_per_task:
         cells = materialize(_cells(rows, targets, len(cuts)), "quantile-cells")
         one_value = F.col("low") == F.col("high")
@@ -122,7 +109,38 @@ def quantiles(
         sketches = rows.groupBy("grp", "cell").agg(F.count("*").alias("size"), _sketch("value", cuts).alias("splitters"))
         wanted, same = _same_cell(cells)
         targets = materialize(sketches.join(wanted, same).drop("o_grp", "o_cell"), "quantile-cuts")
-    found.append(_at_ranks(rows, targets))
+    return [*found, _at_ranks(rows, targets)]
+
+
+def quantiles(
+    df: DataFrame, group: str, value: str, probs: list[float], values_per_task: int = VALUES_PER_TASK
+) -> DataFrame:
+    """Exact interpolated quantiles per group: the group, n and the array ``q``; NULLs are ignored.
+
+    ``percentile`` keeps every distinct value of a group in one task's memory. Here the groups are
+    counted first; a group that fits a task is sorted, and one too large for that is cut before: a mergeable sketch proposes where, and the exact counts between
+    the cuts tell which part holds a wanted rank, however well or badly the sketch did. What is left
+    is a narrow part around each rank, counted per distinct value, and cut again while it is too
+    large.
+    """
+    rows = df.select(F.col(group).alias("grp"), F.col(value).cast("double").alias("value")).filter("value IS NOT NULL")
+    rows = rows.withColumn("cell", F.lit("")).withColumn("n", F.lit(1).cast("bigint"))
+
+    ranks = F.array(*[f(_rank(p, F.col("total"))).cast("bigint") for p in probs for f in (F.floor, F.ceil)])
+    sizes = materialize(
+        rows.groupBy("grp", "cell").agg(F.count("*").alias("total")).select(
+            "*", F.lit(0).cast("bigint").alias("below"), F.array_distinct(ranks).alias("ranks")
+        ),
+        "quantile-sizes",
+    )
+    is_large = F.col("total") > values_per_task
+    n_large, n_groups = sizes.agg(F.count_if(is_large), F.count("*")).first()
+    found = []
+    if n_large < n_groups or not n_groups:
+        found.append(_at_ranks(_of_groups(rows, sizes.filter(~is_large)) if n_large else rows, sizes.filter(~is_large)))
+    if n_large:
+        large = sizes.filter(is_large)
+        found += _cut(rows if n_large == n_groups else _of_groups(rows, large), large, probs, values_per_task)
 
     values = reduce(DataFrame.unionByName, found)
     at = F.map_from_entries(F.collect_list(F.struct("rank", "value")))  # two ranks per quantile

@@ -15,9 +15,8 @@ from tripmart.session import materialize
 def quality_rule_counts(trips: DataFrame, keys: list[str], roles: TripRoles = TripRoles()) -> DataFrame:
     """Rows that break each rule: rule, n_rows, n_bad, bad_rate.
 
-    All rules but one are counted in a single pass, per (file month, pickup month), so that each
-    pair of months is compared once and not for every trip. Repeated rows are those beyond the
-    first with the same ``keys``; equal keys are combined before the shuffle.
+    One pass over the rows: they are counted per ``keys``, with what they break, which combines equal
+    keys before the shuffle. Repeated rows are those beyond the first with the same keys.
     """
     pickup, dropoff = wall_clock(trips, roles.pickup), wall_clock(trips, roles.dropoff)
     row_rules = {
@@ -28,27 +27,18 @@ def quality_rule_counts(trips: DataFrame, keys: list[str], roles: TripRoles = Tr
         "negative_amount": F.col(roles.amount) < 0,
         "dropoff_before_pickup": dropoff < pickup,
     }
-    months = trips.groupBy("source_date", month_start(trips, roles.pickup).alias("pickup_month")).agg(
-        F.count("*").alias("n_rows"), *[F.count_if(rule).alias(name) for name, rule in row_rules.items()]
+    outside = month_label(month_start(trips, roles.pickup)) != F.col("source_date")
+    flagged = {**row_rules, "pickup_outside_source_date": outside}
+    per_key = trips.groupBy(*keys).agg(
+        F.count("*").alias("n_rows"), *[F.count_if(rule).alias(name) for name, rule in flagged.items()]
     )
-    outside = F.when(month_label(F.col("pickup_month")) != F.col("source_date"), F.col("n_rows")).otherwise(0)
-    row_names = [*row_rules, "pickup_outside_source_date"]
-    totals = months.withColumn("pickup_outside_source_date", outside).agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in row_names],
-    )
-    by_rule = totals.unpivot("n_rows", row_names, "rule", "n_bad").select("rule", "n_rows", "n_bad")
-    repeated = (
-        trips.groupBy(*keys)
-        .agg(F.count("*").alias("n"))
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_bad"),
-        )
-        .select(F.lit("repeated_row").alias("rule"), "n_rows", "n_bad")
+    names = [*flagged, "repeated_row"]
+    totals = per_key.withColumn("repeated_row", F.col("n_rows") - 1).agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("n_rows", *names)]
     )
     rate = F.round(F.try_divide("n_bad", "n_rows"), 6)
-    return by_rule.unionByName(repeated).withColumn("bad_rate", rate).orderBy("rule")
+    by_rule = totals.unpivot("n_rows", names, "rule", "n_bad").select("rule", "n_rows", "n_bad")
+    return by_rule.withColumn("bad_rate", rate).orderBy("rule")
 
 
 def outliers(trips: DataFrame, pickup: str, value: str, reach: float = 1.5) -> DataFrame:

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tripmart.operators.schemas import widened
+from tripmart.session import delete_folder, materialize
+from tripmart.sources.readers import read_zone, zone_groups
 
 
 def write_partitions(df: DataFrame, path: str, by: list[str], rebalance: bool = False) -> None:
@@ -16,6 +23,40 @@ def write_partitions(df: DataFrame, path: str, by: list[str], rebalance: bool =
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def zone_schema(spark: SparkSession, path: str, by: str) -> T.StructType | None:
+    """Columns of a zone as its runs wrote them; None where nothing has been written."""
+    try:
+        return read_zone(spark, path, (by,)).schema
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def write_zone(df: DataFrame, path: str, by: str, types: dict[str, T.DataType], months: list[str]) -> None:
+    """``write_partitions`` into a zone that holds one type per column over all its runs.
+
+    ``types`` are those that ``schemas.resolved`` finds for the zone and the rows. Where the zone's own
+    are narrower, its other months are written anew in them first. A month of ``months`` that has no rows
+    any more is emptied.
+    """
+    spark, known = df.sparkSession, zone_schema(df.sparkSession, path, by)
+    rows = widened(df, types, path)
+    if known is not None:
+        groups = zone_groups(spark, path, by)
+        narrow = len(groups) > 1 or any(types.get(f.name.lower(), f.dataType) != f.dataType for f in known)
+        old = read_zone(spark, path, (by,))
+        label = F.replace(F.col(by), F.lit("_"), F.lit("-"))
+        if narrow:
+            others = widened(old.filter(~label.isin(months)), types, path)
+            write_partitions(materialize(others, "widened"), path, [by])
+        brought = df.select(by).distinct()
+        emptied = old.filter(label.isin(months)).select(by).distinct().join(brought, by, "left_anti")
+        for row in emptied.toLocalIterator():
+            delete_folder(spark, f"{path}/{by}={row[0]}")
+    write_partitions(rows, path, [by])
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Plain append: a second run adds the rows a second time."""
     df.write.mode("append").parquet(path)

@@ -7,11 +7,14 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tripmart.operators.catalog import PERIOD, create_database, publish_folder
+from tripmart.operators.catalog import PERIOD, check_types, create_database, publish_all, publish_folder, register_zone
 from tripmart.operators.conform import conform, production_rows
-from tripmart.operators.sinks import write_partitions
+from tripmart.operators.schemas import resolved
+from tripmart.operators.sinks import write_zone, zone_schema
 from tripmart.roles import CATEGORIES, INTEGER_COLUMNS, MONTHS, PRODUCTION_COLUMNS
+from tripmart.session import materialize
 from tripmart.sources import landing, links
 from tripmart.sources.landing import manifest
 from tripmart.sources.readers import EmptySourceError, read_objects, require_rows
@@ -48,28 +51,43 @@ def load_zones(
     integers: list[str] = INTEGER_COLUMNS,
     run_date: date | None = None,
     ignore_case: bool = False,
+    landed: DataFrame | None = None,
+    table: str | None = None,
 ) -> list[str]:
     """Conform the landed objects of a dataset and write both zones; returns the months loaded.
 
-    ``months`` limits the run; the months written replace themselves in both zones and no others.
+    ``months`` limits the run; the months loaded replace themselves in both zones and no others, and one
+    that has landed without rows is emptied. A zone holds one type per column over all runs: the wider
+    one where they differ. Types that have none in common, in a zone or in ``table``, which the rows are to
+    be published to, raise before anything is written. ``landed`` is a listing of ``raw`` made before.
+
     Production keeps ``source_date`` in its files and lies in one folder per month,
     ``<dataset>_parquet/period=<yyyy_MM>``. It is computed from the landed files again, which reads
     eight columns, rather than from the staging copy of all of them.
     """
-    landed = manifest(spark, raw).filter(F.col("dataset") == dataset)
+    landed = (manifest(spark, raw) if landed is None else landed).filter(F.col("dataset") == dataset)
     if months is not None:
         landed = landed.filter(F.col("source_date").isin(months))
     periods = {row.path: row.source_date for row in landed.select("path", "source_date").toLocalIterator()}
     if not periods:
         raise EmptySourceError(f"nothing has landed for {dataset} {months or ''} under {raw}")
-    paths = sorted(periods, key=lambda path: (periods[path], path))
+    paths, loaded = sorted(periods, key=lambda path: (periods[path], path)), sorted(set(periods.values()))
     rows = conform(read_objects(spark, paths, {c: "int" for c in integers}), run_date)
-    require_rows(rows, f"{dataset} under {raw}")
-    write_partitions(rows, f"{staging}/{dataset}", ["source_date"])
     common = production_rows(rows, columns, integers, ignore_case)
     period = F.replace(F.col("source_date"), F.lit("-"), F.lit("_"))
-    write_partitions(common.withColumn(PERIOD, period), f"{production}/{dataset}_parquet", [PERIOD])
-    return sorted(set(periods.values()))
+    zones = [
+        (rows, f"{staging}/{dataset}", "source_date"),
+        (common.withColumn(PERIOD, period), f"{production}/{dataset}_parquet", PERIOD),
+    ]
+    known = [zone_schema(spark, path, by) for _, path, by in zones]
+    if all(schema is None for schema in known):
+        require_rows(rows, f"{dataset} under {raw}")
+    types = [resolved(schema or T.StructType(), own.schema, path) for (own, path, _), schema in zip(zones, known)]
+    if table is not None:
+        check_types(spark, table, common.schema)
+    for (own, path, by), wider in zip(zones, types):
+        write_zone(own, path, by, wider, loaded)
+    return loaded
 
 
 def run_etl(
@@ -81,11 +99,60 @@ def run_etl(
     months: list[str] | None = None,
     **options,
 ) -> dict[str, DataFrame]:
-    """Load each dataset under ``root`` and publish the months loaded; returns the tables by dataset."""
+    """Load each dataset under ``root`` and publish the months loaded; returns the tables by dataset.
+
+    The landed files are listed once.
+    """
     create_database(spark, database, f"{root}/database")
-    published = {}
+    landed, published = materialize(manifest(spark, raw), "landed"), {}
     for dataset in datasets:
-        loaded = load_zones(spark, raw, f"{root}/staging", f"{root}/production", dataset, months, **options)
-        source, table = f"{root}/production/{dataset}_parquet", f"{database}.{dataset}"
+        table = f"{database}.{dataset}"
+        loaded = load_zones(
+            spark, raw, f"{root}/staging", f"{root}/production", dataset, months, landed=landed, table=table, **options
+        )
+        source = f"{root}/production/{dataset}_parquet"
         published[dataset] = publish_folder(spark, source, table, f"{root}/tables/{dataset}", loaded)
     return published
+
+
+@dataclass(frozen=True)
+class Run:
+    """What a whole run had to fetch, what it found no link for, and the tables it published."""
+
+    plan: FetchPlan
+    tables: list[str]
+
+
+def run_all(
+    spark: SparkSession,
+    pages: DataFrame,
+    keys: list[str],
+    raw: str,
+    root: str,
+    staging_db: str,
+    target_db: str,
+    categories: list[str] = CATEGORIES,
+    months: list[str] = MONTHS,
+    **options,
+) -> Run:
+    """The whole job: plan, load, register staging, publish.
+
+    The links of the pages, for the given categories and months, tell which files there are; those that
+    have not landed are in the plan for the caller to fetch, and the wanted ones that have are loaded,
+    dataset by dataset. Staging is registered as ``staging_db``, and every dataset in it is published
+    to ``target_db``.
+    """
+    landed = materialize(manifest(spark, raw), "landed")
+    plan = plan_fetch(pages, keys, landed, categories, months)
+    create_database(spark, staging_db, f"{root}/{staging_db}")
+    create_database(spark, target_db, f"{root}/{target_db}")
+    first = links.first_links(links.category_links(links.page_links(pages, keys), categories, months), keys)
+    wanted = landed.join(landing.wanted_files(first).select("dataset", "file_name").distinct(), ["dataset", "file_name"])
+    datasets = [row.dataset for row in wanted.select("dataset").distinct().orderBy("dataset").toLocalIterator()]
+    for dataset in datasets:
+        load_zones(
+            spark, raw, f"{root}/staging", f"{root}/production", dataset, landed=wanted, table=f"{target_db}.{dataset}", **options
+        )
+    if datasets:
+        register_zone(spark, staging_db, f"{root}/staging")
+    return Run(plan, publish_all(spark, staging_db, target_db, f"{root}/production", f"{root}/tables"))

@@ -8,15 +8,16 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.functions.time import month_bounds
+from tripmart.functions.time import month_bounds, wall_clock_sql
 from tripmart.operators.averages import hourly_average_with_vendor_baseline, monthly_average
 from tripmart.roles import YELLOW, TripRoles
 
-# Monthly average over a catalog table, for use with run_sql.
+# Both queries name the pickup's wall clock {clock}, which the functions below fill in by the column's
+# type, so that a table of instants gives the same months and hours in every session zone.
 MONTHLY_AVERAGE_SQL = """
 SELECT date_format(first_day, 'yyyy-MM') AS month, round(round(mean, 10), 2) AS average_passenger_count
 FROM (
-    SELECT trunc(to_date(tpep_pickup_datetime), 'MM') AS first_day, avg(passenger_count) AS mean
+    SELECT trunc(to_date({clock}), 'MM') AS first_day, avg(passenger_count) AS mean
     FROM IDENTIFIER(:trips)
     GROUP BY 1
 )
@@ -32,7 +33,7 @@ WITH base AS (
     GROUP BY vendorid
 ),
 sums AS (
-    SELECT vendorid, to_date(tpep_pickup_datetime) AS day, hour(tpep_pickup_datetime) AS hour,
+    SELECT vendorid, to_date({clock}) AS day, hour({clock}) AS hour,
            sum(passenger_count) AS total, count(passenger_count) AS n
     FROM IDENTIFIER(:trips)
     WHERE tpep_pickup_datetime >= :first AND tpep_pickup_datetime < :following
@@ -85,11 +86,21 @@ def as_records(report: DataFrame) -> Iterator[dict[str, str | None]]:
         yield row.asDict()
 
 
+def _pickup(spark: SparkSession, table: str) -> tuple[str, str]:
+    """Type of a table's pickup column, and the SQL of its wall clock."""
+    rows = spark.table(table)
+    return rows.schema["tpep_pickup_datetime"].dataType.simpleString(), wall_clock_sql(rows, "tpep_pickup_datetime")
+
+
+def run_monthly_sql(spark: SparkSession, trips: str, output: str) -> DataFrame:
+    """MONTHLY_AVERAGE_SQL over a catalog table, its result kept below ``output``."""
+    return run_sql(spark, MONTHLY_AVERAGE_SQL.format(clock=_pickup(spark, trips)[1]), output, {"trips": trips})
+
+
 def run_hourly_sql(spark: SparkSession, trips: str, baseline: str, month: str, output: str) -> DataFrame:
     """HOURLY_AVERAGE_SQL over two catalog tables, its result kept below ``output``."""
-    kind = spark.table(trips).schema["tpep_pickup_datetime"].dataType.simpleString()
+    kind, clock = _pickup(spark, trips)
     zone = "" if kind == "timestamp_ntz" else "Z"
     first, following = (F.expr(f"{kind}'{day} 00:00:00{zone}'") for day in month_bounds(month))
-    return run_sql(
-        spark, HOURLY_AVERAGE_SQL, output, {"trips": trips, "baseline": baseline, "first": first, "following": following}
-    )
+    args = {"trips": trips, "baseline": baseline, "first": first, "following": following}
+    return run_sql(spark, HOURLY_AVERAGE_SQL.format(clock=clock), output, args)

@@ -39,12 +39,13 @@ def sized_conf(input_bytes: int) -> dict[str, str]:
     """Partition settings for ``build_session`` by the bytes of the largest input.
 
     Scan tasks read 128 MB, or more where that would make over 200 000 tasks. The widest shuffle is
-    that of the repeated-row rule, which moves its key columns, about an eighth of the input; more
-    than 10 000 partitions would cost more in blocks than they save in spilling. AQE joins the
-    partitions of smaller shuffles.
+    that of the repeated-row rule, which moves its key columns, about an eighth of the input, in
+    partitions of 128 MB. Beyond 50 000 of them, which 50 TB take, the blocks of a shuffle (tasks times
+    partitions) cost more than larger partitions, which are sorted on disk. AQE joins the partitions
+    of smaller shuffles.
     """
     scan = max(128 * MB, -(-input_bytes // 200_000))
-    shuffle = min(max(200, input_bytes // 8 // (128 * MB)), 10_000)
+    shuffle = min(max(200, input_bytes // 8 // (128 * MB)), 50_000)
     return {"spark.sql.files.maxPartitionBytes": str(scan), "spark.sql.shuffle.partitions": str(shuffle)}
 
 
@@ -62,6 +63,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/tripmart/{name}-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that a job of this package wrote, through the file system that it lies in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 

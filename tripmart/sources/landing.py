@@ -9,13 +9,24 @@ from tripmart.functions import names
 from tripmart.functions.time import month_bounds, month_label
 
 
+def _listing_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings whose scans pack files by their number, not by their bytes."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    other.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
+    return other
+
+
 def manifest(spark: SparkSession, root: str) -> DataFrame:
     """The landed objects under a folder: path, dataset, file_name, source_date, n_files, n_bytes.
 
-    A listing only. The content column of the file source is not selected, so no file is opened.
+    A listing only. The content column of the file source is not selected, so no file is opened, and
+    files are put together in tasks by their number, whatever their size.
     """
     files = (
-        spark.read.format("binaryFile")
+        _listing_session(spark).read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(root)

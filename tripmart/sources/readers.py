@@ -5,10 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmart.functions.numeric import try_cast
 from tripmart.functions.time import utc_instant
 from tripmart.sources.landing import manifest
 
@@ -45,14 +47,10 @@ def object_paths(landed: DataFrame) -> list[str]:
     return [row.path for row in landed.select("path", "source_date").orderBy("source_date", "path").toLocalIterator()]
 
 
-def object_schemas(spark: SparkSession, paths: list[str]) -> list[T.StructType]:
-    """Schema of each object from one of its footers; several are read at a time."""
-
-    def schema(path: str) -> T.StructType:
-        return spark.read.option("recursiveFileLookup", "true").parquet(path).schema
-
+def object_schemas(spark: SparkSession, paths: list[str]) -> list[list[T.StructType]]:
+    """Schemas of each object by itself, several if its own files differ. For the drift report only."""
     with ThreadPool(FOOTERS_AT_A_TIME) as pool:
-        return pool.map(schema, paths)
+        return pool.map(lambda path: [schema for schema, _ in schema_groups(spark, [path])], paths)
 
 
 def _agree(a: T.StructType, b: T.StructType) -> bool:
@@ -65,35 +63,61 @@ def _union_schema(a: T.StructType, b: T.StructType) -> T.StructType:
     return T.StructType(list(a) + [f for f in b if f.name.lower() not in known])
 
 
+def _is_merge_conflict(error: Exception) -> bool:
+    """Whether the error, or one that caused it in a task, has the condition of a schema conflict."""
+    if isinstance(error, PySparkException) and error.getCondition() == MERGE_CONFLICT:
+        return True
+    cause = getattr(error, "_origin", None) or getattr(error, "java_exception", None)
+    while cause is not None:
+        if cause.getClass().getSimpleName().startswith("Spark") and cause.getCondition() == MERGE_CONFLICT:
+            return True
+        cause = cause.getCause()
+    # a failed task's cause reaches the driver as text only
+    return f"[{MERGE_CONFLICT}]" in str(error)
+
+
 def _merged_schema(spark: SparkSession, paths: list[str], recursive: bool = True) -> T.StructType | None:
     """Schema of all files together, merged by one distributed job; None if a column has two types."""
     reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", str(recursive).lower())
     try:
         return reader.parquet(*paths).schema
     except Exception as error:
-        if MERGE_CONFLICT in str(error):
+        if _is_merge_conflict(error):
             return None
         raise
 
 
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The parquet files below one folder."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return [row.path for row in reader.load(path).select("path").orderBy("path").toLocalIterator()]
+
+
 def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
-    """Objects grouped so that within a group no column has two types.
+    """Objects grouped so that within a group no column has two types, from all their footers.
 
-    Usually that is one group, which Spark's schema merge tells in one job. Only if it meets a
-    conflict are the objects' schemas compared one by one; the groups stay few, as types change
-    rarely.
+    Usually that is one group, which Spark's schema merge tells in one job. Where it meets a conflict,
+    the list, which is in order of the period, is halved, so the jobs grow with the number of schema
+    changes and the logarithm of the number of objects. An object whose own files differ is taken
+    apart into these.
     """
     merged = _merged_schema(spark, paths)
     if merged is not None:
         return [(merged, paths)]
-    groups: list[tuple[T.StructType, list[str]]] = []
-    for path, schema in zip(paths, object_schemas(spark, paths)):
-        for i, (known, members) in enumerate(groups):
+    if len(paths) == 1:
+        files = _files(spark, paths[0])
+        if len(files) < 2:
+            raise ValueError(f"the schema of {paths[0]} cannot be read")
+        paths = files
+    half = len(paths) // 2
+    groups = schema_groups(spark, paths[:half])
+    for schema, members in schema_groups(spark, paths[half:]):
+        for i, (known, others) in enumerate(groups):
             if _agree(known, schema):
-                groups[i] = (_union_schema(known, schema), [*members, path])
+                groups[i] = (_union_schema(known, schema), others + members)
                 break
         else:
-            groups.append((schema, [path]))
+            groups.append((schema, members))
     return groups
 
 
@@ -117,7 +141,9 @@ def _casts(schemas: list[T.StructType], targets: dict[str, str]) -> dict[str, st
     return casts
 
 
-def read_objects(spark: SparkSession, paths: list[str], targets: dict[str, str] | None = None) -> DataFrame:
+def read_objects(
+    spark: SparkSession, paths: list[str], targets: dict[str, str] | None = None, with_source: bool = True
+) -> DataFrame:
     """One DataFrame over objects of differing schemas, with the path of each row's file as ``data_source``.
 
     Each schema group is one scan with its own schema; the union matches columns by name without
@@ -134,13 +160,13 @@ def read_objects(spark: SparkSession, paths: list[str], targets: dict[str, str]
         def column(field: T.StructField, raw: DataFrame = raw) -> Column:
             name = field.name.lower()
             if name in casts:
-                return F.col(field.name).try_cast(casts[name]).alias(field.name)
+                return try_cast(F.col(field.name), casts[name]).alias(field.name)
             if name in instants and isinstance(field.dataType, T.TimestampNTZType):
                 return utc_instant(raw, field.name).alias(field.name)
             return F.col(field.name)
 
-        source = F.col("_metadata.file_path").alias("data_source")
-        parts.append(raw.select(*[column(f) for f in raw.schema], source))
+        source = [F.col("_metadata.file_path").alias("data_source")] if with_source else []
+        parts.append(raw.select(*[column(f) for f in raw.schema], *source))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -157,21 +183,32 @@ def read_landed(
     return read_objects(spark, paths, targets)
 
 
-def read_zone(spark: SparkSession, path: str) -> DataFrame:
+def zone_groups(spark: SparkSession, path: str, by: str = "source_date") -> list[tuple[T.StructType, list[str]]]:
+    """The folders of a zone grouped by schema, as ``schema_groups`` does with objects."""
+    merged = _merged_schema(spark, [path], recursive=False)
+    return [(merged, [path])] if merged is not None else schema_groups(spark, partition_folders(spark, path, by))
+
+
+def read_zone(spark: SparkSession, path: str, by: tuple[str, ...] = ("source_date",)) -> DataFrame:
     """A zone folder, usually partitioned by ``source_date``, with that column as the string it was written as.
 
     Months written by different runs may differ in schema; they are grouped as landed objects are.
-    A schema names ``source_date`` a string: a type guessed from the folder names would take
-    ``2023-01`` for a date.
+    ``by`` names the folder levels, the last one telling the runs apart. A schema names them strings: a
+    type guessed from the folder names would take ``2023-01`` for a date.
     """
-    merged = _merged_schema(spark, [path], recursive=False)
-    groups = [(merged, [path])] if merged is not None else schema_groups(spark, partition_folders(spark, path, "source_date"))
+    groups = zone_groups(spark, path, by[-1])
+    texts = _casts([schema for schema, _ in groups], {})
+    instants = {f.name for schema, _ in groups for f in schema if isinstance(f.dataType, T.TimestampType)}
     parts = []
     for schema, members in groups:
-        columns = T.StructType([f for f in schema if f.name != "source_date"])
-        if "source_date" in schema.names or any("/source_date=" in m for m in members):
-            columns = columns.add("source_date", "string")
-        parts.append(spark.read.schema(columns).option("basePath", path).parquet(*members))
+        columns = T.StructType([f for f in schema if f.name not in by])
+        for name in by:
+            if name in schema.names or any(f"/{name}=" in m for m in members):
+                columns = columns.add(name, "string")
+        raw = spark.read.schema(columns).option("basePath", path).parquet(*members)
+        casts = {c: F.col(c).cast(texts[c.lower()]) for c in raw.columns if c.lower() in texts}
+        casts |= {f.name: utc_instant(raw, f.name) for f in raw.schema if f.name in instants and isinstance(f.dataType, T.TimestampNTZType)}
+        parts.append(raw.withColumns(casts))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -186,16 +223,18 @@ def schema_report(spark: SparkSession, root: str) -> DataFrame:
     """Types of every column over time: dataset, column, type, first and last month, objects.
 
     A column with two rows changed its type; one with fewer objects than its dataset is missing
-    from some. Reads one footer per object, and no data.
+    from some. Reads the footers of each object by themselves, and no data: a merge of several would
+    hide which of them lack a column.
     """
     landed = manifest(spark, root)
     paths = object_paths(landed)
     rows = [
         (path, field.name.lower(), field.dataType.simpleString())
-        for path, schema in zip(paths, object_schemas(spark, paths))
+        for path, schemas in zip(paths, object_schemas(spark, paths))
+        for schema in schemas
         for field in schema
     ]
-    columns = spark.createDataFrame(rows, "path string, column_name string, type string")
+    columns = spark.createDataFrame(sorted(set(rows)), "path string, column_name string, type string")
     return (
         columns.join(landed, "path")
         .groupBy("dataset", "column_name", "type")

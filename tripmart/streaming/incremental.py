@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tripmart.operators.conform import conform
 from tripmart.operators.sinks import write_partitions
-from tripmart.sources.readers import read_objects
+from tripmart.sources.readers import read_objects, read_zone
 
 FILES_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -85,7 +85,10 @@ def stream_drifting(
 
 
 def read_loaded(spark: SparkSession, target: str) -> DataFrame:
-    """Rows loaded so far by either stream, with ``source_date`` as text."""
-    path = f"{target}/rows"
-    schema = T.StructType([f for f in spark.read.parquet(path).schema if f.name != "source_date"])
-    return spark.read.schema(schema.add("source_date", "string")).parquet(path).drop("load_batch")
+    """Rows loaded so far by either stream, with ``source_date`` as text.
+
+    Batches whose schemas differ are read by groups: a column that only some have is NULL in the
+    others, and numbers are widened.
+    """
+    rows = read_zone(spark, f"{target}/rows", ("source_date", "load_batch"))
+    return rows.drop("load_batch")
