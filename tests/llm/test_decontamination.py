@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from cases import awkward, documents
+from conftest import SF_DIR, rows
+
+from tripmart.llm import decontamination
+from tripmart.llm.decontamination import Items, allowed_edits, edit_distance_within
+
+
+def words(text: str) -> list[str]:
+    return "".join(c if c.isalnum() or ord(c) > 127 else " " for c in text.lower()).split()
+
+
+def nearest(item: list[str], text: list[str]) -> int:
+    """Fewest edits from the item to any stretch of the text, cell by cell."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (a != b)))
+        row = new
+    return min(row)
+
+
+def brute_force(texts: dict, items: dict) -> dict:
+    found = {}
+    for d, text in texts.items():
+        for i, item in items.items():
+            distance = nearest(words(item), words(text))
+            if words(item) and distance <= allowed_edits(len(words(item))):
+                found[(d, i)] = distance
+    return found
+
+
+def edited(rng: random.Random, text: str, n: int) -> str:
+    out = text.split()
+    for _ in range(n):
+        kind, at = rng.randrange(3), rng.randrange(len(out))
+        if kind == 0:
+            out[at] = f"zz{rng.randrange(9999)}"
+        elif kind == 1:
+            del out[at]
+        else:
+            out.insert(at, f"qq{rng.randrange(9999)}")
+    return " ".join(out)
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    return {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
+
+
+def test_edit_distance():
+    rng = np.random.default_rng(1)
+    for _ in range(100):
+        a, b = rng.integers(0, 4, rng.integers(1, 9)), rng.integers(0, 4, rng.integers(1, 14))
+        distance, end = edit_distance_within(a.astype(np.uint64), b.astype(np.uint64))
+        assert distance == nearest(a.tolist(), b.tolist())
+        assert nearest(a.tolist(), b.tolist()[:end]) == distance
+
+
+def test_planted_passages_are_found(spark, items):
+    rng = random.Random(2)
+    filler = "some words that stand before and after the passage in a document"
+    texts = {}
+    for n, (item, text) in enumerate(sorted(items.items())):
+        edits = rng.randrange(allowed_edits(len(words(text))) + 1)
+        texts[n] = f"{filler} {edited(rng, text, edits)} {filler}"
+    texts[1000], texts[1001] = filler, "The. And onesen, erblest"
+    benchmark = spark.createDataFrame([*items.items(), (900, None), (901, "?!"), (902, "passage in")], "item_id int, text string")
+    found = decontamination.contaminations(documents(spark, list(texts.items())), benchmark)
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in found.collect()}
+    assert got == brute_force(texts, items | {902: "passage in"})
+
+
+def test_table_equals_brute_force_on_its_passages(spark, items):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect() if len(r["text"]) < 2500}
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in decontamination.contaminations(docs, spark.read.parquet(f"{SF_DIR}/benchmark.parquet")).collect() if r["doc_id"] in texts}
+    held = Items(list(items.items()))
+    # those that share no run of words with an item cannot be near it
+    near = {d: t for d, t in texts.items() if held._windows(decontamination.word_hashes(t, decontamination.ALPHANUMERIC))}
+    assert got == brute_force(near, items)
+
+
+def test_several_passes_find_the_same(spark, items, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    once = rows(decontamination.contaminations(docs, benchmark))
+    monkeypatch.setattr(decontamination, "PASS_BYTES", 4000)
+    assert rows(decontamination.contaminations(docs, benchmark)) == once
+
+
+def test_awkward_rows(spark, items):
+    docs, benchmark = awkward(spark), spark.createDataFrame(list(items.items()), "item_id int, text string")
+    assert rows(decontamination.contaminations(docs, benchmark)) == []
+    kept = decontamination.clean_documents(docs, benchmark)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    assert decontamination.clean_documents(docs, benchmark.limit(0)).count() == docs.count()
+    assert rows(decontamination.contaminations(docs.limit(0), benchmark)) == []
+
+
+def test_contaminated_documents_go(spark, items):
+    passage = next(iter(items.values()))
+    docs = documents(spark, [(1, f"x {passage} y"), (None, passage), (2, "clean"), (1, "clean too")])
+    kept = decontamination.clean_documents(docs, spark.createDataFrame(list(items.items()), "item_id int, text string"))
+    assert rows(kept.select("doc_id", "text")) == [(1, "clean too"), (2, "clean")]

@@ -27,6 +27,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores more as keep it apart from the columns of ``df``."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 class Memo(dict):
     """Results of a function by its argument; starts afresh when it holds ``limit`` entries."""
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import ALPHANUMERIC, mixed, whole_text, word_hashes
+from tripmart.llm.common import ALPHANUMERIC, free_names, mixed, whole_text, word_hashes
 from tripmart.session import materialize
 
 MAX_EDITS = 0.2
@@ -274,6 +274,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     marked = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     marked = marked.withColumn("digest", F.md5("text")).withColumn("key", F.struct("doc_id", "digest"))
     found = contaminations(marked, benchmark, "key", "text").select("doc_id.*").distinct()
-    found = materialize(found, "contaminated").toDF("__id", "__digest")
-    same = [F.md5(whole_text(text_col)) == F.col("__digest"), F.col(id_col).eqNullSafe(F.col("__id"))]
+    other_id, other_digest = free_names(docs, "other_id", "other_digest")
+    found = materialize(found, "contaminated").toDF(other_id, other_digest)
+    same = [F.md5(whole_text(text_col)) == F.col(other_digest), F.col(id_col).eqNullSafe(F.col(other_id))]
     return docs.join(found, same, "left_anti")

@@ -251,10 +251,10 @@ def extracted(
             [main_text(h, frozenset() if t is None else frozenset(t)) for h, t in zip(html, templates, strict=True)], dtype=object
         )
 
-    templates = materialize(site_templates(pages, url_col, html_col).withColumnRenamed("host", "__host"), "templates")
+    templates = materialize(site_templates(pages, url_col, html_col).withColumnRenamed("host", "page_host"), "templates")
     rows = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(html_col, F.lit("")).alias("html")
     )
-    joined = rows.withColumn("__host", host(F.col("url"))).join(templates, "__host", "left")
+    joined = rows.withColumn("page_host", host(F.col("url"))).join(templates, "page_host", "left")
     found = joined.select("page_id", "url", text("html", "templates").alias("text"))
     return found.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import NOT_SPACE, checkpointed, mixed, whole_text, word_hashes
+from tripmart.llm.common import NOT_SPACE, checkpointed, free_names, mixed, whole_text, word_hashes
 from tripmart.llm.components import connected_components
 from tripmart.session import materialize
 
@@ -238,8 +238,9 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     repeated = materialize(first.filter("rows > 1").select("doc_id", "digest"), "repeated")
 
     def rows_of(found: DataFrame, how: str) -> DataFrame:
-        keys = found.toDF("__id", "__digest")
-        return docs.join(keys, [digest == F.col("__digest"), own.eqNullSafe(F.col("__id"))], how)
+        other_id, other_digest = free_names(docs, "other_id", "other_digest")
+        keys = found.toDF(other_id, other_digest)
+        return docs.join(keys, [digest == F.col(other_digest), own.eqNullSafe(F.col(other_id))], how)
 
     return rows_of(leave, "left_anti").unionByName(
         rows_of(repeated, "left_semi").dropDuplicates([id_col, text_col])
