@@ -120,4 +120,30 @@ ORACLES = {
         )
         select query_id, rank, vec_id, score from ranked where rank <= 5
     """,
+    "op10_ngram_join": """
+        with recursive classes as (
+            select coalesce(text, '') as text, min(doc_id) as class_id, count(*) as n_copies, row_number() over () as n
+            from documents group by 1
+        ), split as (
+            select n, list_filter(string_split_regex(lower(text), '[ \\t\\n\\r\\f\\v\\x1c-\\x1f]+'), lambda w: w <> '') as words from classes
+        ), shingles as (
+            select distinct n, unnest(list_transform(
+                range(1, greatest(len(words) - 3, least(len(words), 1) + 1)), lambda i: array_to_string(words[i:i + 4], ' ')
+            )) as shingle
+            from split
+        ), sizes as (select n, count(*) as size from shingles group by 1
+        ), common as (
+            select a.n as a, b.n as b, count(*) as common from shingles a join shingles b using (shingle) where a.n <> b.n group by 1, 2
+        ), links as (
+            select a, b from common join sizes x on x.n = a join sizes y on y.n = b
+            where common >= 0.8 * (x.size + y.size - common) - 1e-9
+        ), reach as (
+            select n as a, n as b from classes union select reach.a, links.b from reach join links on links.a = reach.b
+        ), groups as (select a as n, min(class_id) as group_id from reach join classes on classes.n = b group by 1
+        ), degrees as (select a as n, count(*) as texts, sum(n_copies) as copies from links join classes on classes.n = b group by 1)
+        select doc_id, class_id, group_id, n_copies, coalesce(texts, 0)::bigint as n_linked_texts,
+               (n_copies - 1 + coalesce(copies, 0))::bigint as n_links
+        from documents join classes on coalesce(documents.text, '') = classes.text
+        join groups using (n) left join degrees using (n)
+    """,
 }
