@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from types import SimpleNamespace
 
@@ -17,7 +16,16 @@ from tripmart.operators import catalog, conform, sinks
 from tripmart.operators.schemas import SchemaConflictError
 from tripmart.plans import etl
 from tripmart.roles import CATEGORIES, MONTHS, PRODUCTION_COLUMNS
-from tripmart.session import CHECKPOINT_DIR, OVERWRITE_MODE, dynamic_overwrite, materialize, scratch_dir, sized_conf
+from tripmart.session import (
+    CHECKPOINT_DIR,
+    OVERWRITE_MODE,
+    clear_scratch,
+    delete_folder,
+    materialize,
+    scratch_dir,
+    sized_conf,
+    temporary,
+)
 from tripmart.sources import landing, readers
 
 RUN = date(2023, 6, 1)
@@ -329,22 +337,29 @@ def test_run_of_one_month_reads_and_replaces_that_month_only(spark, zone):
     assert kept and all("2023-01" in f for f in kept) and len(kept) == len([f for f in before if "2023-01" in f])
 
 
-def test_dynamic_overwrite_is_put_back_by_the_last_of_several_threads(spark):
-    before = spark.conf.get(OVERWRITE_MODE)
+def test_months_are_replaced_whatever_the_session_is_set_to(spark, folder):
+    table, before = f"{database(spark, folder)}.yellow", spark.conf.get(OVERWRITE_MODE)
     spark.conf.set(OVERWRITE_MODE, "static")
     try:
-
-        def run(_):
-            with dynamic_overwrite(spark):
-                return spark.conf.get(OVERWRITE_MODE)
-
-        with ThreadPoolExecutor(8) as pool:
-            assert set(pool.map(run, range(64))) == {"dynamic"}
-        assert spark.conf.get(OVERWRITE_MODE) == "static"
+        for month, n in (("2023-01", 3), ("2023-02", 2), ("2023-02", 4)):
+            catalog.publish(spark, trips(spark, month, n).withColumn("source_date", F.lit(month)), table, f"{folder}/yellow")
+            assert spark.conf.get(OVERWRITE_MODE) == "static"
+        assert rows(spark.table(table).groupBy("source_date").count()) == [("2023-01", 3), ("2023-02", 4)]
     finally:
         spark.conf.set(OVERWRITE_MODE, before)
 
 
+def test_scratch_output_is_deleted(spark):
+    df = trips(spark, "2023-01", 3)
+    with temporary(df, "test") as copy:
+        place = copy.inputFiles()[0].rsplit("/", 1)[0]
+        assert rows(copy) == rows(df)
+    assert not delete_folder(spark, place)
+    kept = materialize(df, "test").inputFiles()[0].rsplit("/", 1)[0]
+    assert clear_scratch(spark) > 0
+    assert not delete_folder(spark, kept)
+
+
 def test_scratch_folder_needs_the_shared_folder_on_a_cluster():
     def session(master, conf):
         return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators.schemas import SchemaConflictError, resolved, widened
-from tripmart.session import delete_folder, dynamic_overwrite
+from tripmart.session import OVERWRITE_OPTION, delete_folder
 from tripmart.sources.landing import manifest
 from tripmart.sources.readers import EmptySourceError, partition_folders, read_objects, read_zone, require_rows, zone_groups
 
@@ -141,7 +141,11 @@ def publish(
 
     def create(rows: DataFrame, table: str, location: str) -> None:
         writer = rows.writeTo(table).using(fmt)
-        writer = writer.option("path", location) if fmt in FILE_FORMATS else writer.tableProperty("location", location)
+        if fmt in FILE_FORMATS:
+            # the table's own option, so that no session's setting has to change while months are replaced
+            writer = writer.option("path", location).option(OVERWRITE_OPTION, "dynamic")
+        else:
+            writer = writer.tableProperty("location", location)
         for key, value in (properties or {}).items():
             writer = writer.tableProperty(key, value)
         (writer.partitionedBy(F.col(PARTITION)) if partitioned else writer).create()
@@ -158,9 +162,10 @@ def publish(
         aligned = _aligned(rows, spark.table(table))
         if append:
             aligned.write.insertInto(table)
+        elif fmt in FILE_FORMATS:
+            aligned.write.insertInto(table, overwrite=True)
         else:
-            with dynamic_overwrite(spark):
-                aligned.write.insertInto(table, overwrite=True)
+            aligned.writeTo(table).overwritePartitions()
     if months and partitioned and not append:
         _empty_months(spark, table, months, rows)
     return spark.table(table)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators.schemas import widened
-from tripmart.session import delete_folder, materialize
+from tripmart.session import OVERWRITE_OPTION, delete_folder, temporary
 from tripmart.sources.readers import read_zone, zone_groups
 
 
@@ -20,7 +20,7 @@ def write_partitions(df: DataFrame, path: str, by: list[str], rebalance: bool =
     and lets AQE split a month that is too large for one task and join small ones.
     """
     rows = df.hint("rebalance", *by) if rebalance else df
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    rows.write.mode("overwrite").option(OVERWRITE_OPTION, "dynamic").partitionBy(*by).parquet(path)
 
 
 def zone_schema(spark: SparkSession, path: str, by: str) -> T.StructType | None:
@@ -49,7 +49,8 @@ def write_zone(df: DataFrame, path: str, by: str, types: dict[str, T.DataType],
         label = F.replace(F.col(by), F.lit("_"), F.lit("-"))
         if narrow:
             others = widened(old.filter(~label.isin(months)), types, path)
-            write_partitions(materialize(others, "widened"), path, [by])
+            with temporary(others, "widened") as copy:
+                write_partitions(copy, path, [by])
         brought = df.select(by).distinct()
         emptied = old.filter(label.isin(months)).select(by).distinct().join(brought, by, "left_anti")
         for row in emptied.toLocalIterator():

@@ -14,7 +14,7 @@ from tripmart.operators.conform import conform, production_rows
 from tripmart.operators.schemas import resolved
 from tripmart.operators.sinks import write_zone, zone_schema
 from tripmart.roles import CATEGORIES, INTEGER_COLUMNS, MONTHS, PRODUCTION_COLUMNS
-from tripmart.session import materialize
+from tripmart.session import materialize, temporary
 from tripmart.sources import landing, links
 from tripmart.sources.landing import manifest
 from tripmart.sources.readers import EmptySourceError, read_objects, require_rows
@@ -104,14 +104,15 @@ def run_etl(
     The landed files are listed once.
     """
     create_database(spark, database, f"{root}/database")
-    landed, published = materialize(manifest(spark, raw), "landed"), {}
-    for dataset in datasets:
-        table = f"{database}.{dataset}"
-        loaded = load_zones(
-            spark, raw, f"{root}/staging", f"{root}/production", dataset, months, landed=landed, table=table, **options
-        )
-        source = f"{root}/production/{dataset}_parquet"
-        published[dataset] = publish_folder(spark, source, table, f"{root}/tables/{dataset}", loaded)
+    published = {}
+    with temporary(manifest(spark, raw), "landed") as landed:
+        for dataset in datasets:
+            table = f"{database}.{dataset}"
+            loaded = load_zones(
+                spark, raw, f"{root}/staging", f"{root}/production", dataset, months, landed=landed, table=table, **options
+            )
+            source = f"{root}/production/{dataset}_parquet"
+            published[dataset] = publish_folder(spark, source, table, f"{root}/tables/{dataset}", loaded)
     return published
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+OVERWRITE_OPTION = "partitionOverwriteMode"
 MB = 1024 * 1024
 
 
@@ -69,38 +69,35 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+_kept: dict[str, list[str]] = {}
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what ``materialize`` has written in this application, once its results have been used; returns the folders."""
+    paths = _kept.pop(spark.sparkContext.applicationId, [])
+    return sum(delete_folder(spark, path) for path in paths)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives the optimizer the true size
     of the result: a join with it is broadcast only if that size is below
-    ``spark.sql.autoBroadcastJoinThreshold`` and is a shuffle join otherwise.
+    ``spark.sql.autoBroadcastJoinThreshold`` and is a shuffle join otherwise. The caller may read the
+    result at any time, so it stays until ``clear_scratch``.
     """
     path = scratch_dir(df.sparkSession, name)
+    _kept.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_overwrite_lock = threading.Lock()
-_overwrite_users: dict[str, list] = {}
-
-
 @contextmanager
-def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Dynamic partition overwrite for ``insertInto``, which ignores the writer option.
-
-    Jobs of several threads may be inside at once: the first one sets it, the last one puts back
-    what was there.
-    """
-    key = spark.sparkContext.applicationId
-    with _overwrite_lock:
-        users = _overwrite_users.setdefault(key, [0, spark.conf.get(OVERWRITE_MODE)])
-        users[0] += 1
-        spark.conf.set(OVERWRITE_MODE, "dynamic")
+def temporary(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back, until the block that uses it is left."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
     try:
-        yield
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
-        with _overwrite_lock:
-            users[0] -= 1
-            if users[0] == 0:
-                spark.conf.set(OVERWRITE_MODE, _overwrite_users.pop(key)[1])
+        delete_folder(df.sparkSession, path)
