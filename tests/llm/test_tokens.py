@@ -114,5 +114,13 @@ def test_shards_equal_the_library(spark, folder, source, monkeypatch):
     assert {k: sorted(v) for k, v in expected.items()} == {k: sorted(v) for k, v in wanted.items()}
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("abcdéß'st.,;! |<>0\x1c\x85\xa0"), st.characters(max_codepoint=0x3000, exclude_categories=["Cs"])), max_size=30))
+def test_chunks_have_the_ids_of_the_whole(text):
+    ids = packed_ids.ids_of(WORDS)
+    for own in (text, f"x {text}<|endoftext|>{text.upper()}"):
+        assert np.frombuffer(ids.encode(own), "<u4").tolist() == ids.tokenizer.encode(own, add_special_tokens=False).ids
+
+
 def test_shards_of_nothing(spark, folder):
     assert rows(packed_ids.round_trip(whole(spark).limit(0), f"{folder}/shards", WORDS)) == []

@@ -39,16 +39,24 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
 
 
 class Memo(dict):
-    """Results of a function by its argument; starts afresh when it holds ``limit`` entries."""
+    """Results of a function by its argument, of the latest ``limit`` to twice as many different ones.
 
-    def __init__(self, compute: Callable[[Any], Any], limit: int = 400_000):
+    When it is full, its entries become the older ones, in place of those before; an older entry that is
+    asked for again is taken over.
+    """
+
+    def __init__(self, compute: Callable[[Any], Any], limit: int = 150_000):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.older = compute, limit, {}
 
     def __missing__(self, key: Any) -> Any:
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value
 
 

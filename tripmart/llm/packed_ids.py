@@ -8,24 +8,34 @@ id, so blocks can be decoded on their own.
 
 from __future__ import annotations
 
+import re
+import string
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tripmart.llm.common import Memo, whole_text
+from tripmart.llm.token_counts import byte_symbols
 
 END_ID = 1
 #: Fixed values of the word format: ids per word for selectors 0 to 13, each of 60 // count bits.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 BLOCK_WORDS = 4096
-ROW_IDS = 1_000_000
+ROW_IDS = 500_000
+ROWS_AT_ONCE = 256
+KEPT_CHUNKS = 300_000
+SIGNS = string.punctuation
+#: What ``str.split`` takes for white space and the tokenizer does not, and what both do.
+NO_SPACE = "\x1c\x1d\x1e\x1f"
+SPACE = re.compile(rf"[^\S{NO_SPACE}]+")
 _PAYLOAD = np.uint64(60)
 
 
@@ -35,22 +45,19 @@ def pack(ids: np.ndarray) -> np.ndarray:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64)
-    selector, step = np.full(n, ESCAPE, np.int64), np.ones(n, np.int64)
+    selector, step = np.full(n, ESCAPE, np.int8), np.ones(n, np.int8)
+    narrow = ids.astype(np.uint32) if ids.max() < 1 << 32 else ids
+    widest = int(ids.max())
     for at in range(len(COUNTS) - 1, -1, -1):
         count, bits = COUNTS[at], 60 // COUNTS[at]
-        if count > n:
-            break
-        too_wide = np.flatnonzero(ids >> np.uint64(bits))
-        # ids from each place up to the next one that is too wide
-        bounds = np.append(too_wide, n)
-        if not len(too_wide):
-            selector[: n - count + 1], step[: n - count + 1] = at, count
-            continue
-        if len(too_wide) == n:
-            continue
-        run = bounds[np.searchsorted(bounds, np.arange(n))] - np.arange(n)
-        fits = run >= count
-        selector[fits], step[fits] = at, count
+        if widest < 1 << bits:
+            begins = slice(0, max(0, n - count + 1))
+        else:
+            fits = np.flatnonzero(narrow < (1 << bits))
+            # places from which so many ids in a row are narrow enough
+            begins = fits[: max(0, len(fits) - count + 1)]
+            begins = begins[fits[count - 1 :] - begins == count - 1]
+        selector[begins], step[begins] = at, count
     steps, starts, at = step.tolist(), [], 0
     while at < n:
         starts.append(at)
@@ -111,20 +118,40 @@ def block_offsets(words: np.ndarray) -> np.ndarray:
 
 
 class Ids:
-    """Ids of texts under a tokenizer that drops white space, with the ids of chunks without any kept."""
+    """Ids of texts under a tokenizer that drops white space and case, with the ids of earlier chunks kept.
+
+    Pieces of letters, of digits and of other signs are encoded separately, so a chunk of Latin letters
+    with a sign behind it has the ids of both. Special strings are looked for in the text as it is; none
+    holds white space, so each lies within a chunk.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        # added tokens are found in the text as it stands, so a chunk may hold one, but none holds white space
-        self.packed = Memo(lambda chunk: np.array(self._encode(chunk), "<u4").tobytes())
-
-    def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.model, self.symbols = self.tokenizer.model, byte_symbols()
+        self.packed = Memo(self._packed, KEPT_CHUNKS)
+
+    def _packed(self, chunk: str) -> bytes:
+        if "<|" in chunk or max(chunk) >= "\u0100":
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        elif (low := chunk.lower()) != chunk:
+            return self.packed[low]
+        elif (stem := chunk.rstrip(SIGNS)) != chunk and stem.isalpha():
+            return self.packed[stem] + self.packed[chunk[len(stem) :]]
+        elif chunk.isalpha():
+            # one piece: the tokenizer's own model without the steps that find the pieces
+            ids = [token.id for token in self.model.tokenize("".join(map(self.symbols.__getitem__, chunk.encode())))]
+        else:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.packed.__getitem__, text.split()))
+        """Ids as little-endian unsigned 32-bit integers."""
+        chunks = text.split()
+        if any(sign in text for sign in NO_SPACE):
+            chunks = filter(None, SPACE.split(text))
+        return b"".join(map(self.packed.__getitem__, chunks))
 
 
 @cache
@@ -141,27 +168,30 @@ def write_shards(
 ) -> None:
     """Encode every whole text, append ``end_id``, and write shard rows in ascending order of the ids."""
     kind = docs.schema[id_col].dataType.simpleString()
+    names = [part.split()[0] for part in SHARD.split(", ")]
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        end, row, ids, lengths, buffers = np.array([end_id], "<u4").tobytes(), 0, [], [], []
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end, row, ids, lengths, buffers, held = np.array([end_id], "<u4").tobytes(), 0, [], [], [], 0
 
-        def shard() -> pd.DataFrame:
+        def shard() -> pa.RecordBatch:
             words = pack(np.frombuffer(b"".join(buffers), "<u4"))
-            return pd.DataFrame(
-                {
-                    "part": [part], "row": [row], "n_ids": [sum(lengths)], "doc_ids": [ids], "doc_lengths": [lengths],
-                    "words": [words.astype("<u8").tobytes()], "offsets": [block_offsets(words)],
-                }
-            )
+            values = [part, row, held, ids, lengths, words.astype("<u8").tobytes(), block_offsets(words).tolist()]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(id_type), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
         for batch in batches:
-            for part, doc_id, text in zip(batch["part"], batch["doc_id"], batch["text"], strict=True):
-                buffers.append(ids_of(tokenizer).encode(text) + end)
-                ids.append(None if pd.isna(doc_id) else doc_id)
-                lengths.append(len(buffers[-1]) // 4)
-                if sum(lengths) >= ROW_IDS:
-                    yield shard()
-                    row, ids, lengths, buffers = row + 1, [], [], []
+            id_type = batch.column(1).type
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                piece = batch.slice(at, ROWS_AT_ONCE)
+                part = piece.column(0)[0].as_py()
+                for doc_id, text in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist(), strict=True):
+                    buffers.append(ids_of(tokenizer).encode(text) + end)
+                    ids.append(doc_id)
+                    lengths.append(len(buffers[-1]) // 4)
+                    held += lengths[-1]
+                    if held >= ROW_IDS:
+                        yield shard()
+                        row, ids, lengths, buffers, held = row + 1, [], [], [], 0
         if ids:
             yield shard()
 
@@ -169,7 +199,7 @@ def write_shards(
     ordered = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
     ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     ordered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    ordered.mapInPandas(rows, SHARD.format(id=kind)).write.parquet(path)
+    ordered.mapInArrow(rows, SHARD.format(id=kind)).write.parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:

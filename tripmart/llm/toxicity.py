@@ -158,7 +158,7 @@ def train(
 
     @F.pandas_udf("binary")
     def terms(texts: pd.Series) -> pd.Series:
-        of_word = Memo(word_buckets, 100_000)
+        of_word = Memo(word_buckets, 50_000)
         return texts.map(lambda text: buckets(text, of_word).tobytes())
 
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
