@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, Window
@@ -18,6 +19,8 @@ from tripmart.llm.common import Memo, whole_text
 
 CHUNK = 32_768
 OVERLAP = 512
+ROWS_AT_ONCE = 128
+KEPT_PIECES = 75_000
 
 
 class Codec:
@@ -29,7 +32,7 @@ class Codec:
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.pieces = regex.compile(pattern).findall
         self.matches = regex.compile(pattern).finditer
-        self.packed = Memo(self._pack)
+        self.packed = Memo(self._pack, KEPT_PIECES)
         self.bytes_of = [token for token, _ in sorted(ranks.items(), key=lambda item: item[1])]
 
     def _pack(self, piece: str) -> bytes:
@@ -53,18 +56,18 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _digests(encoded: pd.Series, decode: Callable[[bytes], bytes]) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "n_tokens": [len(ids) // 4 for ids in encoded],
-            "ids": encoded,
-            "ids_sha256": [hashlib.sha256(ids).hexdigest() for ids in encoded],
-            "decoded_sha256": [hashlib.sha256(decode(ids)).hexdigest() for ids in encoded],
-        }
-    )
+def _found(ids: bytes, both: Codec) -> dict:
+    """What is known of one text by its ids."""
+    return {
+        "n_tokens": len(ids) // 4,
+        "ids": ids,
+        "ids_sha256": hashlib.sha256(ids).hexdigest(),
+        "decoded_sha256": hashlib.sha256(both.decode(ids)).hexdigest(),
+    }
 
 
 RESULT = "n_tokens bigint, ids binary, ids_sha256 string, decoded_sha256 string"
+RESULT_ARROW = pa.schema([("n_tokens", pa.int64()), ("ids", pa.binary()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
 def _chunk_ends(path: str, pattern: str) -> Callable[[pd.Series, pd.Series], pd.Series]:
@@ -121,19 +124,23 @@ def _long_texts(rows: DataFrame, path: str, pattern: str) -> DataFrame:
     piece = F.when(F.col("last"), F.expr("substring(part, `from` - start + 1)")).otherwise(
         F.expr("substring(part, `from` - start + 1, cut - `from`)")
     )
+    # only a text whose chunks do not all fit together is needed as a whole
+    joined = F.min(F.col("last") | F.col("cut").isNotNull()).over(Window.partitionBy("doc_id", "text_hash"))
+    chunks = chunks.withColumn("piece", F.coalesce(piece, F.lit(""))).withColumn("joined", joined)
+    joined = F.col("joined")
     chunks = chunks.select(
-        *key, "rows", F.substring("part", 1, CHUNK).alias("own"), (F.col("last") | F.col("cut").isNotNull()).alias("cut"),
-        _encode_pieces(path, pattern)(F.coalesce(piece, F.lit(""))).alias("ids"),
+        *key, "rows", F.when(~joined, F.substring("part", 1, CHUNK)).alias("own"), joined.alias("joined"),
+        _encode_pieces(path, pattern)("piece").alias("ids"),
     )
 
     def join_chunks(text: pd.DataFrame) -> pd.DataFrame:
         text = text.sort_values("chunk")
         both = codec(path, pattern)
-        if text["cut"].all():
+        if text["joined"].all():
             ids = b"".join(text["ids"])
         else:  # a piece longer than the overlap: the whole text is read at once
             ids = both.encode("".join(text["own"]))
-        found = _digests(pd.Series([ids]), both.decode)
+        found = pd.DataFrame([_found(ids, both)])
         found.insert(0, "doc_id", text["doc_id"].iloc[:1].to_numpy())
         return found.loc[found.index.repeat(int(text["rows"].iloc[0]))]
 
@@ -153,16 +160,19 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     other columns are ignored; an empty table gives no rows.
     """
 
-    @F.pandas_udf(RESULT)
-    def encode(texts: pd.Series) -> pd.DataFrame:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        return _digests(texts.map(own.encode), own.decode)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                found = [_found(own.encode(text), own) for text in part.column(1).to_pylist()]
+                columns = pa.RecordBatch.from_pylist(found, RESULT_ARROW).columns
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", *RESULT_ARROW.names])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
-    short = rows.filter(F.length("text") <= CHUNK).select("doc_id", encode("text").alias("found"))
-    return short.select("doc_id", "found.*").unionByName(
-        _long_texts(rows.filter(F.length("text") > CHUNK), path, pattern)
-    )
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    short = rows.filter(F.length("text") <= CHUNK).mapInArrow(encode, f"doc_id {kind}, {RESULT}")
+    return short.unionByName(_long_texts(rows.filter(F.length("text") > CHUNK), path, pattern))
 
 
 def with_tokens(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
