@@ -27,6 +27,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A table of up to so many bytes may be sent to all tasks; a larger one is joined by a shuffle.
+SENT_BYTES = 32 << 20
+
+
+def sent_if_small(df: DataFrame, row_bytes: Column, limit: int = SENT_BYTES) -> DataFrame:
+    """``df``, a table that has been written, to be broadcast if its rows are measured to be below the limit."""
+    size = df.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
     """The wanted names, each with as many underscores more as keep it apart from the columns of ``df``."""
     taken, found = {c.lower() for c in df.columns}, []
