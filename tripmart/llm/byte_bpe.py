@@ -15,12 +15,12 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import Memo, whole_text
+from tripmart.llm.common import Memo, give_back_memory, whole_text
 
 CHUNK = 32_768
 OVERLAP = 512
-ROWS_AT_ONCE = 128
-KEPT_PIECES = 75_000
+ROWS_AT_ONCE = 64
+KEPT_PIECES = 40_000
 
 
 class Codec:
@@ -168,6 +168,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
                 found = [_found(own.encode(text), own) for text in part.column(1).to_pylist()]
                 columns = pa.RecordBatch.from_pylist(found, RESULT_ARROW).columns
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", *RESULT_ARROW.names])
+            give_back_memory()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -7,6 +7,7 @@ from functools import cache
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,11 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return found
 
 
+def give_back_memory() -> None:
+    """Return what Arrow has freed to the system, as a Python worker lives on for later stages."""
+    pa.default_memory_pool().release_unused()
+
+
 class Memo(dict):
     """Results of a function by its argument, of the latest ``limit`` to twice as many different ones.
 
@@ -55,7 +61,7 @@ class Memo(dict):
     asked for again is taken over.
     """
 
-    def __init__(self, compute: Callable[[Any], Any], limit: int = 150_000):
+    def __init__(self, compute: Callable[[Any], Any], limit: int = 50_000):
         super().__init__()
         self.compute, self.limit, self.older = compute, limit, {}
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import Memo, whole_text
 
 LIMIT = 1024
+KEPT_PIECES = 150_000
 
 
 def byte_symbols() -> list[str]:
@@ -35,7 +36,7 @@ class Counter:
         special = [regex.escape(t["content"]) for t in spec["added_tokens"]]
         self.split_special = regex.compile("|".join(special)).split if special else lambda text: [text]
         self.pieces = regex.compile(pattern).findall
-        self.counts = Memo(self.merge)
+        self.counts = Memo(self.merge, KEPT_PIECES)
 
     def merge(self, piece: str) -> int:
         """Symbols that are left of a piece: those at first less the merges.
