@@ -109,3 +109,23 @@ def test_contaminated_documents_go(spark, items):
     docs = documents(spark, [(1, f"x {passage} y"), (None, passage), (2, "clean"), (1, "clean too")])
     kept = decontamination.clean_documents(docs, spark.createDataFrame(list(items.items()), "item_id int, text string"))
     assert rows(kept.select("doc_id", "text")) == [(1, "clean too"), (2, "clean")]
+
+
+def test_long_items_behind_many_short_ones_are_found(monkeypatch):
+    rng = random.Random(7)
+    drawn = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    short, long = [(n, drawn(4)) for n in range(300)], [(1000 + n, drawn(80)) for n in range(60)]
+
+    def found(held: Items) -> int:
+        own, copies = random.Random(8), 0
+        for item, text in long:
+            split = text.split()
+            for at in own.sample(range(80), 16):
+                split[at] = f"x{own.randrange(10**6)}"
+            copies += item in {match[0] for match in held.matches(f"{drawn(30)} {' '.join(split)} {drawn(30)}")}
+        return copies
+
+    assert found(Items(short + long)) >= 58
+    monkeypatch.setattr(decontamination, "MAX_REPETITIONS", 1)
+    held = Items(short + long)
+    assert set(held.repetitions[300:].tolist()) == {0} and found(held) == 60

@@ -25,7 +25,10 @@ SAMPLED = 2
 TARGET_RECALL = 0.99
 MARKS = 1 << 20
 MAX_REPETITIONS = 64
-TRIALS, WALKS = 200, 4
+#: By item, edited copies on which repetitions are measured, and walks for each.
+COPIES, WALKS = 4, 4
+#: Cells of embeddings that are measured at once.
+CELLS = 1 << 22
 #: Bytes of benchmark text that one pass holds in each task; a larger benchmark takes several passes.
 PASS_BYTES = 32 << 20
 
@@ -128,30 +131,50 @@ class Items:
         self.marked = np.zeros(MARKS, bool)
         self.marked[self.keys & np.uint64(MARKS - 1)] = True
         self.repetitions = self._repetitions(target)
-        self.sketches = [self._sketches_of_all(r) for r in range(self.repetitions)]
-
-    def _sketches_of_all(self, repetition: int) -> list[np.ndarray]:
-        lengths, starts, joined = _laid_out(self.words)
-        embedded = embed(joined, starts, lengths, repetition) if self.words else []
-        return [row[sampled_places(n, repetition)] for row, n in zip(embedded, lengths.tolist(), strict=True)]
-
-    def _repetitions(self, target: float) -> int:
-        """As many as find the target share of items that bear all the edits they may, measured on such copies."""
-        rng, agreements = np.random.default_rng(5), []
-        if not self.words:
-            return 1
-        trials = [self.words[at % len(self.words)] for at in range(TRIALS)]
-        edited = [_edited(rng, words, allowed_edits(len(words), self.share)) for words in trials]
-        lengths, starts, joined = _laid_out(trials)
-        _, other_starts, other_joined = _laid_out(edited)
-        for walk in range(WALKS):
-            one, other = embed(joined, starts, lengths, walk), embed(other_joined, other_starts, lengths, walk)
-            agreements += [(a[: 3 * n] == b[: 3 * n]).mean() for a, b, n in zip(one, other, lengths.tolist(), strict=True)]
-        chance = np.array(agreements) ** SAMPLED
-        for repetitions in range(1, MAX_REPETITIONS):
-            if np.mean(1 - (1 - chance) ** repetitions) >= target:
-                return repetitions
-        return MAX_REPETITIONS
+        self.sketches = [self._sketches_of(r) for r in range(int(self.repetitions.max(initial=0)))]
+
+    def _alike(self, items: np.ndarray) -> list[np.ndarray]:
+        """The items in groups of like lengths, whose embeddings have at most ``CELLS`` cells or are one."""
+        lengths = np.array([len(self.words[item]) for item in items.tolist()], np.int64)
+        groups, begin = [], 0
+        order = np.argsort(lengths, kind="stable")
+        for at in range(1, len(order) + 1):
+            if at == len(order) or (at - begin + 1) * 3 * lengths[order[at]] > CELLS:
+                groups.append(items[order[begin:at]])
+                begin = at
+        return groups
+
+    def _sketches_of(self, repetition: int) -> dict[int, np.ndarray]:
+        """Sketches of the items that are compared in this repetition."""
+        found = {}
+        for group in self._alike(np.flatnonzero(self.repetitions > repetition)):
+            lengths, starts, joined = _laid_out([self.words[item] for item in group.tolist()])
+            embedded = embed(joined, starts, lengths, repetition)
+            for item, row, n in zip(group.tolist(), embedded, lengths.tolist(), strict=True):
+                found[item] = row[sampled_places(n, repetition)]
+        return found
+
+    def _repetitions(self, target: float) -> np.ndarray:
+        """By item, as many as find it at the target rate with all the edits it may bear; 0 where ``MAX_REPETITIONS`` do not.
+
+        Measured on edited copies of each item, against the one that agrees least. Items with 0 are
+        not sampled: their windows are all verified.
+        """
+        rng, least = np.random.default_rng(5), np.ones(len(self.words))
+        for group in self._alike(np.flatnonzero(self.edits > 0)):
+            own = [self.words[item] for item in group.tolist()]
+            lengths, starts, joined = _laid_out(own)
+            chances = np.zeros((COPIES, len(group)))
+            copies = [_laid_out([_edited(rng, w, int(self.edits[i])) for w, i in zip(own, group.tolist(), strict=True)])[1:] for _ in range(COPIES)]
+            for walk in range(WALKS):
+                one = embed(joined, starts, lengths, walk)
+                for copy, (other_starts, other_joined) in enumerate(copies):
+                    same = one == embed(other_joined, other_starts, lengths, walk)
+                    chances[copy] += [row[: 3 * n].mean() ** SAMPLED for row, n in zip(same, lengths.tolist(), strict=True)]
+            least[group] = chances.min(axis=0) / WALKS
+        lost = 1 - np.clip(least, 1e-9, 1 - 1e-9)
+        needed = np.ceil(np.log(max(1 - target, 1e-9)) / np.log(lost))
+        return np.where(needed > MAX_REPETITIONS, 0, np.maximum(needed, 1)).astype(np.int64)
 
     @staticmethod
     def _sketch(words: np.ndarray, starts: np.ndarray, length: int, repetition: int) -> np.ndarray:
@@ -202,8 +225,8 @@ class Items:
             words = self.words[item]
             n, edits = len(words), int(self.edits[item])
             begin = np.unique(np.clip(starts, 0, len(hashed) - 1))
-            collided = np.zeros(len(begin), bool)
-            for repetition in range(self.repetitions):
+            collided = np.full(len(begin), self.repetitions[item] == 0)
+            for repetition in range(self.repetitions[item]):
                 rest = np.flatnonzero(~collided)
                 if not len(rest):
                     break
@@ -236,8 +259,9 @@ def contaminations(
     from it in edit distance (exactly equal for items of up to five words); ``edits`` is the smallest
     distance met. Windows of the item's length are opened where as many runs of three of its words
     stand at their places as such a stretch must have, so that none is lost; window and item are embedded by random walks, and where
-    sampled coordinates agree in one of the repetitions, the distance is computed. The number of
-    repetitions is what the target recall takes for the items at hand.
+    sampled coordinates agree in one of the repetitions, the distance is computed. Each item has as
+    many repetitions as the target recall takes on edited copies of it; the windows of an item that
+    takes more than ``MAX_REPETITIONS`` are all verified.
 
     The benchmark is held by every task, ``PASS_BYTES`` of it at a time: its size is looked at first, and
     a larger one takes several passes over the documents. Texts or items without words (null, empty)
