@@ -1,4 +1,4 @@
-"""Similarity join of documents on word n-grams, by a forest of sorted MinHash prefixes."""
+"""Similarity join of documents on word n-grams, by plain MinHash banding."""
 
 from __future__ import annotations
 
@@ -29,7 +29,7 @@ def expected_recall(depth: int, threshold: float = THRESHOLD, trees: int = TREES
 
 
 def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, target: float = TARGET_RECALL) -> int:
-    """The prefix is shortened from the full depth, step by step, until the target recall is reached."""
+    """Most values, up to the full depth, that a band can have at the target recall: four by the defaults, for all texts."""
     depth = FULL_DEPTH
     while depth > 1 and expected_recall(depth, threshold, trees) < target:
         depth -= 1
