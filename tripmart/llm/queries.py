@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import (
     byte_bpe,
+    centroids,
     decontamination,
+    fill_in_middle,
     html_text,
     licenses,
     line_dedup,
@@ -19,6 +21,7 @@ from tripmart.llm import (
     token_counts,
     topk_search,
     toxicity,
+    vector_graph,
 )
 from tripmart.session import scratch_dir
 
@@ -84,6 +87,18 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "group_id", "n_copies", "n_linked_texts", "n_links")
 
 
+def op11_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents")))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(_table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
 QUERIES = [
     op1_line_dedup,
     op2_html_text,
@@ -95,6 +110,9 @@ QUERIES = [
     op8_license_scan,
     op9_toxicity,
     op10_ngram_join,
+    op11_vector_graph,
+    op12_fill_in_middle,
+    op13_centroids,
 ]
 
 
