@@ -1,0 +1,203 @@
+"""Published tables: loads that become visible at once, types promoted in the catalog, months given to a table without."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from conftest import rows, session_zone
+from pyspark.sql import functions as F
+
+from tripmart.operators import catalog, loads
+from tripmart.operators.schemas import SchemaConflictError
+
+
+@pytest.fixture
+def table(spark, folder) -> tuple[str, str]:
+    name = f"loads_{uuid.uuid4().hex[:8]}"
+    catalog.create_database(spark, name, f"{folder}/database")
+    return f"{name}.trips", f"{folder}/trips"
+
+
+def dated(spark, month, values, kind="int"):
+    found = spark.createDataFrame([(float(v),) for v in values], "x double")
+    return found.select(F.col("x").cast(kind).alias("x"), F.lit(month).alias("source_date"))
+
+
+def sums(spark, table):
+    return rows(spark.table(table).groupBy("source_date").agg(F.count("*"), F.sum("x")))
+
+
+class Crash(Exception):
+    pass
+
+
+def crash(*_, **__):
+    raise Crash
+
+
+def test_a_load_is_not_seen_before_the_switch_and_is_completed_by_its_run_id(spark, table, monkeypatch):
+    name, place = table
+    catalog.publish(spark, dated(spark, "2023-01", [1, 2]).unionByName(dated(spark, "2023-02", [3])), name, place)
+    new = dated(spark, "2023-02", [10, 20]).unionByName(dated(spark, "2023-03", [30]))
+    with monkeypatch.context() as patched:
+        patched.setattr(loads, "switch_months", crash)
+        with pytest.raises(Crash):
+            catalog.publish(spark, new, name, place, run_id="second")
+    assert sums(spark, name) == [("2023-01", 2, 3), ("2023-02", 1, 3)]
+    written = loads.load_folder(place, "second")
+    assert set(loads.months_of(spark, written)) == {"2023-02", "2023-03"}
+
+    # dies again between two months: each month is as it was or as it is
+    switched, run = [], loads.add_months
+    with monkeypatch.context() as patched:
+        patched.setattr(loads, "add_months", crash)
+        with pytest.raises(Crash):
+            catalog.publish(spark, new, name, place, run_id="second")
+    assert sums(spark, name) == [("2023-01", 2, 3), ("2023-02", 2, 30)]
+    # what the first attempt wrote is not written again
+    before = set(spark.read.parquet(written).inputFiles())
+    catalog.publish(spark, new, name, place, run_id="second")
+    assert set(spark.read.parquet(written).inputFiles()) == before
+    expected = [("2023-01", 2, 3), ("2023-02", 2, 30), ("2023-03", 1, 30)]
+    assert sums(spark, name) == expected and run is loads.add_months and not switched
+
+    # a load that was published is not repeated, not even after a later one
+    catalog.publish(spark, dated(spark, "2023-03", [7]), name, place, run_id="third")
+    catalog.publish(spark, new, name, place, run_id="second")
+    assert sums(spark, name) == [*expected[:2], ("2023-03", 1, 7)]
+
+
+def test_a_reader_under_way_keeps_its_files_until_they_expire(spark, table):
+    name, place = table
+    catalog.publish(spark, dated(spark, "2023-01", [1]), name, place, run_id="a")
+    old_files = spark.table(name).inputFiles()
+    catalog.publish(spark, dated(spark, "2023-01", [2]), name, place, run_id="b")
+    catalog.publish(spark, dated(spark, "2023-02", [3]), name, place, run_id="c")
+    assert spark.read.parquet(*old_files).count() == 1
+    assert loads.expire_loads(spark, name, place) == ["a"]
+    assert sums(spark, name) == [("2023-01", 1, 2), ("2023-02", 1, 3)]
+    assert loads.expire_loads(spark, name, place) == []
+
+
+def test_a_table_without_months_is_replaced_by_one_change(spark, table, monkeypatch):
+    name, place = table
+    catalog.publish(spark, dated(spark, "m", [1, 2]).drop("source_date"), name, place)
+    with monkeypatch.context() as patched:
+        patched.setattr(catalog.loads, "write_load", crash)
+        with pytest.raises(Crash):
+            catalog.publish(spark, dated(spark, "m", [5]).drop("source_date"), name, place)
+    assert rows(spark.table(name)) == [(1,), (2,)]
+    catalog.publish(spark, dated(spark, "m", [5]).drop("source_date"), name, place)
+    assert rows(spark.table(name)) == [(5,)]
+    catalog.publish(spark, dated(spark, "m", [6]).drop("source_date"), name, place, append=True)
+    assert rows(spark.table(name)) == [(5,), (6,)]
+
+
+@pytest.mark.parametrize(("old", "new"), [("int", "bigint"), ("int", "double"), ("int", "decimal(12,2)"), ("float", "double"), ("decimal(6,2)", "decimal(12,4)")])
+def test_types_are_promoted_without_touching_a_file(spark, table, old, new):
+    name, place = table
+    catalog.publish(spark, dated(spark, "2023-01", [1, 2], old), name, place, properties={"owner_team": "trips"})
+    before = set(spark.table(name).inputFiles())
+    catalog.publish(spark, dated(spark, "2023-02", [3], new), name, place)
+    assert before < set(spark.table(name).inputFiles())
+    assert dict(spark.table(name).dtypes)["x"] == new
+    assert [(m, n, float(x)) for m, n, x in sums(spark, name)] == [("2023-01", 2, 3.0), ("2023-02", 1, 3.0)]
+    assert loads._properties(spark, name)["owner_team"] == "trips"
+    # a later run of the narrower type is cast, and replaces its month only
+    catalog.publish(spark, dated(spark, "2023-02", [4, 5], old), name, place)
+    assert [(m, n, float(x)) for m, n, x in sums(spark, name)] == [("2023-01", 2, 3.0), ("2023-02", 2, 9.0)]
+
+
+def test_longer_whole_numbers_as_doubles_are_written_anew_and_completed_after_a_crash(spark, table, monkeypatch):
+    name, place = table
+    first = dated(spark, "2023-01", [1, 2], "bigint").unionByName(dated(spark, None, [7], "bigint"))
+    catalog.publish(spark, first, name, place, properties={"owner_team": "trips"})
+    with monkeypatch.context() as patched:
+        patched.setattr(loads, "switch_months", crash)
+        with pytest.raises(Crash):
+            catalog.publish(spark, dated(spark, "2023-02", [0.5], "double"), name, place)
+    # another run, with an id of its own, completes what was begun
+    catalog.publish(spark, dated(spark, "2023-03", [1.5], "double"), name, place)
+    assert sums(spark, name) == [("2023-01", 2, 3.0), ("2023-03", 1, 1.5), (None, 1, 7.0)]
+    assert {k: v for k, v in loads._properties(spark, name).items() if k.startswith(("owner_team", loads.PENDING))} == {"owner_team": "trips"}
+
+
+@pytest.mark.parametrize("owns_files", [False, True])
+def test_a_table_gains_months_and_keeps_its_rows(spark, table, owns_files):
+    name, place = table
+    undated = dated(spark, None, [1, 2, 3]).drop("source_date")
+    if owns_files:
+        undated.write.option("compression", "snappy").saveAsTable(name)
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('owner_team' = 'trips')")
+    else:
+        catalog.publish(spark, undated, name, place, properties={"owner_team": "trips"})
+    before = set(spark.table(name).inputFiles())
+    catalog.publish(spark, dated(spark, "2023-01", [10]).unionByName(dated(spark, "2023-02", [20])), name, place)
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["source_date"]
+    assert sums(spark, name) == [("2023-01", 1, 10), ("2023-02", 1, 20), (None, 3, 6)]
+    assert owns_files or before < set(spark.table(name).inputFiles())
+    for value in (11, 12):
+        catalog.publish(spark, dated(spark, "2023-01", [value]), name, place)
+        assert sums(spark, name) == [("2023-01", 1, value), ("2023-02", 1, 20), (None, 3, 6)]
+    assert loads._properties(spark, name)["owner_team"] == "trips"
+    loads.expire_loads(spark, name, place)
+    assert sums(spark, name)[2] == (None, 3, 6)
+
+
+def test_a_table_gains_derived_months(spark, table):
+    name, place = table
+    undated = spark.createDataFrame([(1, "2023-01-05"), (2, "2023-02-05"), (3, None)], "x int, day string")
+    catalog.publish(spark, undated, name, place)
+    new = spark.createDataFrame([(20, "2023-02-09", "2023-02")], "x int, day string, source_date string")
+    catalog.publish(spark, new, name, place, undated_month=F.substring("day", 1, 7))
+    assert sums(spark, name) == [("2023-01", 1, 1), ("2023-02", 1, 20), (None, 1, 3)]
+
+
+def test_a_table_whose_months_are_a_plain_column_gains_partitions(spark, table):
+    name, place = table
+    dated(spark, "2023-01", [1]).unionByName(dated(spark, "2023-02", [2])).write.option("path", f"{place}-old").saveAsTable(name)
+    catalog.publish(spark, dated(spark, "2023-02", [5]), name, place)
+    assert sums(spark, name) == [("2023-01", 1, 1), ("2023-02", 1, 5)]
+
+
+def test_the_change_of_definitions_is_completed_after_a_crash(spark, table, monkeypatch):
+    name, place = table
+    catalog.publish(spark, dated(spark, None, [1]).drop("source_date"), name, place)
+    sql = type(spark).sql
+
+    def dies(self, text, *more):
+        if f"{loads.NEXT} RENAME" in text:
+            raise Crash
+        return sql(self, text, *more)
+
+    new = dated(spark, "2023-01", [10])
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark), "sql", dies)
+        with pytest.raises(Crash):
+            catalog.publish(spark, new, name, place)
+    catalog.publish(spark, new, name, place)
+    assert sums(spark, name) == [("2023-01", 1, 10), (None, 1, 1)]
+
+
+def test_a_conflict_is_found_before_anything_is_written(spark, table):
+    name, place = table
+    catalog.publish(spark, dated(spark, "2023-01", [1]), name, place)
+    with pytest.raises(SchemaConflictError):
+        catalog.publish(spark, dated(spark, "2023-02", [1]).withColumn("x", F.lit("text")), name, place, run_id="bad")
+    lowest = spark.createDataFrame([(-(2**63), "2023-02")], "x bigint, source_date string")
+    catalog.publish(spark, lowest, name, place)
+    with pytest.raises(SchemaConflictError):
+        catalog.publish(spark, dated(spark, "2023-03", [0.5], "double"), name, place, run_id="worse")
+    assert spark.table(name).count() == 2
+    assert not loads.path_exists(spark, loads.load_folder(place, "bad")) and not loads.path_exists(spark, loads.load_folder(place, "worse"))
+
+
+def test_wall_clock_times_and_instants_share_a_column(spark, table):
+    name, place = table
+    wall = spark.sql("SELECT TIMESTAMP_NTZ '2023-01-05 10:00:00' AS t, '2023-01' AS source_date")
+    with session_zone(spark, "America/Sao_Paulo"):
+        catalog.publish(spark, wall, name, place)
+        instant = spark.sql("SELECT TIMESTAMP '2023-02-05 10:00:00 UTC' AS t, '2023-02' AS source_date")
+        catalog.publish(spark, instant, name, place)
+    assert rows(spark.table(name).select(F.date_format("t", "yyyy-MM-dd HH"))) == [("2023-01-05 10",), ("2023-02-05 10",)]

@@ -6,16 +6,17 @@ import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmart.operators import loads
+from tripmart.operators.loads import PARTITION
 from tripmart.operators.schemas import SchemaConflictError, resolved, widened
-from tripmart.session import OVERWRITE_OPTION, delete_folder
+from tripmart.session import delete_folder
 from tripmart.sources.landing import manifest
 from tripmart.sources.readers import EmptySourceError, partition_folders, read_objects, read_zone, require_rows, zone_groups
 
-PARTITION = "source_date"
 PERIOD = "period"
 FILE_FORMATS = ("parquet", "orc")
 
@@ -54,20 +55,6 @@ def check_types(spark: SparkSession, table: str, new: T.StructType) -> dict[str,
     return resolved(known, new, table)
 
 
-def _rebuild(spark: SparkSession, rows: DataFrame, table: str, location: str, types: dict, append: bool, create) -> None:
-    """The table anew, at a location of its own, in wider types: its rows less the months replaced, and the new ones."""
-    old = spark.table(table)
-    if not append:
-        kept_by = PARTITION in old.columns and PARTITION in rows.columns
-        old = old.join(rows.select(PARTITION).distinct(), PARTITION, "left_anti") if kept_by else old.limit(0)
-    both = widened(old, types, table).unionByName(rows, allowMissingColumns=True)
-    both = both.select(*[c for c in both.columns if c != PARTITION], *([PARTITION] if PARTITION in both.columns else []))
-    anew = f"{table}_{uuid.uuid4().hex[:8]}"
-    create(both, anew, f"{location.rstrip('/')}-{uuid.uuid4().hex[:8]}")
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {anew} RENAME TO {table}")
-
-
 def register_folder(spark: SparkSession, table: str, path: str) -> None:
     """A landed folder as a table, its columns taken from the files and its partitions from the folders.
 
@@ -122,6 +109,8 @@ def publish(
     append: bool = False,
     rebalance: bool = False,
     months: list[str] | None = None,
+    run_id: str | None = None,
+    undated_month: Column | None = None,
 ) -> DataFrame:
     """Create the table, or load into it; returns the published table.
 
@@ -131,54 +120,76 @@ def publish(
     are; ``rebalance`` is for rows in no such order. ``months`` names further months that the rows stand
     for: those without rows are emptied. New columns are added to the table, and columns the rows
     lack are NULL. Rows of a narrower type are cast; if they need a wider one than the table has, it is
-    written anew with it beside ``location``; types that have none in common raise before any change.
+    promoted (see ``loads.promote``); types that have none in common raise before any change.
+
+    Rows are written to a folder of their own, and the table's months are pointed to it then, so readers
+    see a month as it was or as it is. ``run_id`` names that folder: a run that died is completed by another
+    with its id, and one that was published is not repeated. Folders that were replaced stay for readers
+    until ``loads.expire_loads``. Dated rows for a table without months partition it first, its rows
+    lying in the month that ``undated_month`` gives them, or in none (see ``loads.partition_table``).
     """
-    if months is None or not spark.catalog.tableExists(table):
-        require_rows(rows, f"the source of {table}")
+    run_id = run_id or uuid.uuid4().hex
     partitioned = PARTITION in rows.columns
+    if fmt not in FILE_FORMATS:
+        return _publish_elsewhere(spark, rows, table, location, fmt, properties or {}, append)
+    loads.finish_pending(spark, table)
+    folder = loads.load_folder(location, run_id)
+    if loads.is_published(spark, folder):
+        return spark.table(table)
     if rebalance and partitioned:
         rows = rows.hint("rebalance", PARTITION)
-
-    def create(rows: DataFrame, table: str, location: str) -> None:
-        writer = rows.writeTo(table).using(fmt)
-        if fmt in FILE_FORMATS:
-            # the table's own option, so that no session's setting has to change while months are replaced
-            writer = writer.option("path", location).option(OVERWRITE_OPTION, "dynamic")
-        else:
-            writer = writer.tableProperty("location", location)
-        for key, value in (properties or {}).items():
-            writer = writer.tableProperty(key, value)
-        (writer.partitionedBy(F.col(PARTITION)) if partitioned else writer).create()
-
     if not spark.catalog.tableExists(table):
-        create(rows, table, location)
+        if not loads.write_load(rows, folder, fmt):
+            delete_folder(spark, folder)
+            raise EmptySourceError(f"no rows in the source of {table}")
+        loads.create_table(rows, table, location, fmt, properties or {}, partitioned)
+        loads.switch(spark, table, folder)
         return spark.table(table)
+    if months is None and append:
+        require_rows(rows, f"the source of {table}")
     types = check_types(spark, table, rows.schema)
     rows = widened(rows, types, table)
-    if any(types[f.name.lower()] != f.dataType for f in spark.table(table).schema):
-        _rebuild(spark, rows, table, location, types, append, create)
-    else:
-        _add_columns(spark, table, rows.schema)
-        aligned = _aligned(rows, spark.table(table))
-        if append:
-            aligned.write.insertInto(table)
-        elif fmt in FILE_FORMATS:
-            aligned.write.insertInto(table, overwrite=True)
-        else:
-            aligned.writeTo(table).overwritePartitions()
-    if months and partitioned and not append:
-        _empty_months(spark, table, months, rows)
+    dated = loads.is_partitioned(spark, table)
+    if partitioned and not dated:
+        loads.partition_table(spark, table, location, fmt, run_id, undated_month)
+        dated = True
+    loads.promote(spark, table, types, location, run_id, fmt)
+    _add_columns(spark, table, rows.schema)
+    aligned = _aligned(rows, spark.table(table))
+    if append:
+        aligned.write.insertInto(table)
+        return spark.table(table)
+    if not loads.write_load(aligned, folder, fmt) and months is None:
+        delete_folder(spark, folder)
+        raise EmptySourceError(f"no rows in the source of {table}")
+    loads.switch(spark, table, folder)
+    if months and dated:
+        loads.drop_months(spark, table, set(months) - set(loads.months_of(spark, folder)))
     return spark.table(table)
 
 
-def _empty_months(spark: SparkSession, table: str, months: list[str], rows: DataFrame) -> None:
-    """Take out the partitions of the months that brought no rows."""
-    brought = {row[0] for row in rows.select(PARTITION).distinct().toLocalIterator()}
-    for month in sorted(set(months) - brought):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = '{month}')")
-        where = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()
-        if where:
-            delete_folder(spark, f"{where.data_type}/{PARTITION}={month}")
+def _publish_elsewhere(
+    spark: SparkSession, rows: DataFrame, table: str, location: str, fmt: str, properties: dict[str, str], append: bool
+) -> DataFrame:
+    """``publish`` into a table format that commits its own loads."""
+    require_rows(rows, f"the source of {table}")
+    if not spark.catalog.tableExists(table):
+        writer = rows.writeTo(table).using(fmt).tableProperty("location", location)
+        for key, value in properties.items():
+            writer = writer.tableProperty(key, value)
+        (writer.partitionedBy(F.col(PARTITION)) if PARTITION in rows.columns else writer).create()
+        return spark.table(table)
+    types = check_types(spark, table, rows.schema)
+    for f in spark.table(table).schema:
+        if types[f.name.lower()] != f.dataType:
+            spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{f.name}` TYPE {types[f.name.lower()].simpleString()}")
+    _add_columns(spark, table, rows.schema)
+    aligned = _aligned(widened(rows, types, table), spark.table(table))
+    if append:
+        aligned.writeTo(table).append()
+    else:
+        aligned.writeTo(table).overwritePartitions()
+    return spark.table(table)
 
 
 def publish_folder(

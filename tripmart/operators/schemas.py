@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmart.functions.time import utc_instant
+
 EXACT_IN_DOUBLE = 2**53
+TIMES = (T.TimestampType, T.TimestampNTZType)
 
 
 class SchemaConflictError(ValueError):
@@ -26,6 +31,8 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
         if isinstance(one, whole) and isinstance(other, T.DecimalType):
             digits = max((3, 5, 10, 19)[whole.index(type(one))], other.precision - other.scale)
             return T.DecimalType(min(digits + other.scale, 38), other.scale) if digits + other.scale <= 38 else None
+    if isinstance(a, TIMES) and isinstance(b, TIMES):
+        return T.TimestampType()
     if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
         scale = max(a.scale, b.scale)
         digits = max(a.precision - a.scale, b.precision - b.scale)
@@ -48,18 +55,20 @@ def resolved(known: T.StructType, new: T.StructType, what: str) -> dict[str, T.D
 
 
 def widened(rows: DataFrame, types: dict[str, T.DataType], what: str) -> DataFrame:
-    """``rows`` cast to the types, columns without one as they are; raises if a value would change."""
+    """``rows`` cast to the types, columns without one as they are; raises if a value would change.
+
+    Wall clock times become instants as the readers make them so.
+    """
+    changed = {f.name: (f.dataType, types[f.name.lower()]) for f in rows.schema if types.get(f.name.lower(), f.dataType) != f.dataType}
     large = [
-        F.abs(f.name) > EXACT_IN_DOUBLE
-        for f in rows.schema
-        if isinstance(f.dataType, T.LongType) and isinstance(types.get(f.name.lower()), T.DoubleType)
+        ~F.col(name).between(-EXACT_IN_DOUBLE, EXACT_IN_DOUBLE)
+        for name, (old, new) in changed.items()
+        if isinstance(old, T.LongType) and isinstance(new, T.DoubleType)
     ]
-    for condition in large:
-        if not rows.filter(condition).isEmpty():
-            raise SchemaConflictError(f"a whole number of {what} is too large for a double")
+    if large and not rows.filter(reduce(Column.__or__, [F.coalesce(one, F.lit(False)) for one in large])).isEmpty():
+        raise SchemaConflictError(f"a whole number of {what} is too large for a double")
     casts = {
-        f.name: F.col(f.name).cast(types[f.name.lower()])
-        for f in rows.schema
-        if types.get(f.name.lower(), f.dataType) != f.dataType
+        name: utc_instant(rows, name) if isinstance(old, T.TimestampNTZType) and isinstance(new, T.TimestampType) else F.col(name).cast(new)
+        for name, (old, new) in changed.items()
     }
     return rows.withColumns(casts) if casts else rows

@@ -69,6 +69,28 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, place = _hadoop(spark, path)
+    return system.exists(place)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    system, place = _hadoop(spark, path)
+    system.create(place, True).close()
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below one; none where it does not exist."""
+    system, place = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory()) if system.exists(place) else []
+
+
 _kept: dict[str, list[str]] = {}
 
 
