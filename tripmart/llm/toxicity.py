@@ -19,13 +19,12 @@ BUCKETS = 1 << 18
 PREFIXES = (4, 5)
 #: At most so many rows of each label are learnt from: those with the smallest hash of their id.
 ROWS_PER_LABEL = 5000
-MIN_DOCUMENTS = 5
-MIN_GAIN = 40.0
-MAX_TERMS = 8192
 FACTORS = 4
-EPOCHS = 300
-RATE = 0.05
-DECAY = 1e-4
+EPOCHS = 12
+BATCH = 128
+#: Steps of the linear weights and of the factors, and what holds both near zero.
+RATE, FACTOR_RATE = 0.05, 0.02
+DECAY, FACTOR_DECAY = 1e-4, 1e-3
 THRESHOLD = 0.3
 
 
@@ -46,92 +45,68 @@ def _sigmoid(values: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Linear weights and factors of the buckets that tell the labels apart."""
+    """A linear weight and factors of every bucket of hashed terms."""
 
-    def __init__(self, chosen: np.ndarray, bias: float, weights: np.ndarray, factors: np.ndarray):
-        self.chosen, self.bias, self.weights, self.factors = chosen, bias, weights, factors
-        self.place = {int(b): at for at, b in enumerate(chosen)}
-        self.known = Memo(self._known)
+    def __init__(self, bias: float, weights: np.ndarray, factors: np.ndarray):
+        self.bias, self.weights, self.factors = bias, weights, factors
+        self.known = Memo(word_buckets)
 
     def __getstate__(self) -> tuple:
-        return self.chosen, self.bias, self.weights, self.factors
+        return self.bias, self.weights, self.factors
 
     def __setstate__(self, state: tuple) -> None:
         self.__init__(*state)
 
-    def _known(self, word: str) -> tuple[int, ...]:
-        return tuple(self.place[b] for b in word_buckets(word) if b in self.place)
-
     def score(self, text: str) -> float:
-        """Chance of label 1 by the terms of the whole text."""
-        terms = sorted(set().union(*map(self.known.__getitem__, set(WORD.findall(text.lower())))))
-        value = self.bias
-        if terms:
-            own = self.factors[terms]
-            pairs = 0.5 * (own.sum(axis=0) ** 2 - (own**2).sum(axis=0)).sum() / len(terms)
-            value += self.weights[terms].sum() + pairs
-        return float(_sigmoid(np.array(value)))
-
-
-def _informative(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Buckets by which the labels differ, by the likelihood ratio of their document frequencies."""
-    counts = np.zeros((2, BUCKETS))
-    for label in (0, 1):
-        own = [r for r, y in zip(rows, labels, strict=True) if y == label]
-        if own:
-            counts[label] = np.bincount(np.concatenate(own), minlength=BUCKETS)
-    totals = np.array([(labels == 0).sum(), (labels == 1).sum()], float)[:, None]
-    shares = counts.sum(axis=0) / totals.sum()
-    gain = np.zeros(BUCKETS)
-    for seen, expected in ((counts, totals * shares), (totals - counts, totals * (1 - shares))):
-        gain += 2 * np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12)), 0).sum(axis=0)
-    gain[counts.sum(axis=0) < MIN_DOCUMENTS] = 0
-    best = np.argsort(-gain, kind="stable")[:MAX_TERMS]
-    return np.sort(best[gain[best] >= MIN_GAIN])
+        """Chance of label 1 by the terms of the whole text, one by one and in pairs."""
+        terms = buckets(text, self.known)
+        own = self.factors[terms].astype(np.float64)
+        pairs = 0.5 * (own.sum(axis=0) ** 2 - (own**2).sum(axis=0)).sum()
+        return float(_sigmoid(np.array(self.bias + self.weights[terms].sum(dtype=np.float64) + pairs)))
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> Model:
-    """Model of the buckets of documents and their labels, by full-batch Adam; ``weights`` restore the labels' shares."""
+    """Model of the buckets of documents and their labels; ``weights`` restore the labels' shares.
+
+    A factorization machine of degree two over all buckets, none left out: a document's value is the sum of its
+    buckets' weights and of the products of the factors of each two of them. Learnt in small batches with
+    a step of its own per number (AdaGrad), which touches only the buckets of the batch.
+    """
     prior = float((weights * labels).sum() / weights.sum()) if len(labels) else 0.0
-    bias = float(np.log((prior + 1e-4) / (1 - prior + 1e-4)))
-    chosen = _informative(rows, labels) if len(set(labels.tolist())) == 2 else np.zeros(0, np.int64)
     rng = np.random.default_rng(3)
-    parameters = [np.array([bias]), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), FACTORS))]
-    if len(chosen):
-        place = np.full(BUCKETS, -1)
-        place[chosen] = np.arange(len(chosen))
-        kept = [place[r][place[r] >= 0] for r in rows]
-        owner = np.repeat(np.arange(len(rows)), [len(k) for k in kept])
-        term = np.concatenate(kept)
-        size = np.maximum(np.bincount(owner, minlength=len(rows)), 1)
-        moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
-        share = weights / weights.sum()
-
-        def per_row(values: np.ndarray) -> np.ndarray:
-            return np.bincount(owner, values, minlength=len(rows))
-
-        def per_term(values: np.ndarray) -> np.ndarray:
-            return np.bincount(term, values, minlength=len(chosen))
-
-        for epoch in range(1, EPOCHS + 1):
-            start, w, v = parameters
-            own = v[term]
-            sums = np.stack([per_row(own[:, f]) for f in range(FACTORS)], axis=1)
-            squares = per_row((own**2).sum(axis=1))
-            value = start[0] + per_row(w[term]) + 0.5 * ((sums**2).sum(axis=1) - squares) / size
-            error = share * (_sigmoid(value) - labels)
-            pull = (error / size)[owner][:, None] * (sums[owner] - own)
-            gradients = [
-                np.array([error.sum()]),
-                per_term(error[owner]) + DECAY * w / len(chosen),
-                np.stack([per_term(pull[:, f]) for f in range(FACTORS)], axis=1) + DECAY * v / len(chosen),
-            ]
-            for at, (p, g) in enumerate(zip(parameters, gradients, strict=True)):
-                first, second = moments[at]
-                first += 0.1 * (g - first)
-                second += 0.001 * (g * g - second)
-                p -= RATE * (first / (1 - 0.9**epoch)) / (np.sqrt(second / (1 - 0.999**epoch)) + 1e-9)
-    return Model(chosen, float(parameters[0][0]), parameters[1], parameters[2])
+    bias = float(np.log((prior + 1e-4) / (1 - prior + 1e-4)))
+    w, v = np.zeros(BUCKETS, np.float32), rng.normal(0, 0.01, (BUCKETS, FACTORS)).astype(np.float32)
+    if len(set(labels.tolist())) < 2:
+        return Model(bias, w, 0 * v)
+    seen_w, seen_v, seen_bias = np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32), 0.0
+    share = weights * (len(weights) / weights.sum())
+    used = np.zeros(BUCKETS, bool)
+    for _ in range(EPOCHS):
+        order = rng.permutation(len(rows))
+        for at in range(0, len(order), BATCH):
+            batch = order[at : at + BATCH]
+            sizes = [len(rows[i]) for i in batch]
+            owner = np.repeat(np.arange(len(batch)), sizes)
+            touched, term = np.unique(np.concatenate([rows[i] for i in batch]), return_inverse=True)
+            used[touched] = True
+            own_w, own_v = w[touched], v[touched]
+            each = own_v[term]
+            sums = np.stack([np.bincount(owner, each[:, f], minlength=len(batch)) for f in range(FACTORS)], axis=1)
+            squares = np.bincount(owner, (each**2).sum(axis=1), minlength=len(batch))
+            value = bias + np.bincount(owner, own_w[term], minlength=len(batch)) + 0.5 * ((sums**2).sum(axis=1) - squares)
+            error = share[batch] * (_sigmoid(value) - labels[batch])
+            slope_w = np.bincount(term, error[owner], minlength=len(touched)) + DECAY * own_w
+            pull = error[owner][:, None] * (sums[owner] - each)
+            slope_v = np.stack([np.bincount(term, pull[:, f], minlength=len(touched)) for f in range(FACTORS)], axis=1)
+            slope_v += FACTOR_DECAY * own_v
+            seen_w[touched] += slope_w**2
+            seen_v[touched] += slope_v**2
+            seen_bias += error.sum() ** 2
+            w[touched] -= RATE * slope_w / np.sqrt(seen_w[touched] + 1e-8)
+            v[touched] -= FACTOR_RATE * slope_v / np.sqrt(seen_v[touched] + 1e-8)
+            bias -= RATE * error.sum() / np.sqrt(seen_bias + 1e-8)
+    # a bucket that was never met has nothing to say
+    return Model(float(bias), np.where(used, w, 0), np.where(used[:, None], v, 0))
 
 
 def held_out(id_column: Column) -> Column:
