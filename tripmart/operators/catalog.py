@@ -78,10 +78,19 @@ def register_folder(spark: SparkSession, table: str, path: str) -> None:
         spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{partitioned} LOCATION '{path}'")
     else:
         _add_columns(spark, table, schema)
-    if any(c.isPartition for c in spark.catalog.listColumns(table)):
-        spark.catalog.recoverPartitions(table)
-    else:
-        spark.catalog.refreshTable(table)
+    if loads.is_partitioned(spark, table):
+        sync_partitions(spark, table, path)
+    spark.catalog.refreshTable(table)
+
+
+def sync_partitions(spark: SparkSession, table: str, path: str) -> None:
+    """The table's months made those that have a folder: new ones added, gone ones dropped, in batches.
+
+    One listing of the folder itself, whatever lies below its months.
+    """
+    folders, known = loads.months_of(spark, path.rstrip("/")), loads.known_months(spark, table)
+    loads.add_months(spark, table, {month: place for month, place in folders.items() if month not in known})
+    loads.drop_months(spark, table, known - set(folders))
 
 
 def register_zone(spark: SparkSession, database: str, root: str) -> list[str]:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators.schemas import widened
-from tripmart.session import OVERWRITE_OPTION, delete_folder, temporary
-from tripmart.sources.readers import read_zone, zone_groups
+from tripmart.session import OVERWRITE_OPTION, child_folders, delete_folder, temporary, write_text
+from tripmart.sources.readers import RECORD, read_zone, zone_groups
 
 
 def write_partitions(df: DataFrame, path: str, by: list[str], rebalance: bool = False) -> None:
@@ -19,6 +19,8 @@ def write_partitions(df: DataFrame, path: str, by: list[str], rebalance: bool =
     few partitions. ``rebalance`` is for rows in no such order. It shuffles by the partition columns
     and lets AQE split a month that is too large for one task and join small ones.
     """
+    # what is recorded of the folder holds again when its writer has told so
+    delete_folder(df.sparkSession, f"{path.rstrip('/')}/{RECORD}")
     rows = df.hint("rebalance", *by) if rebalance else df
     rows.write.mode("overwrite").option(OVERWRITE_OPTION, "dynamic").partitionBy(*by).parquet(path)
 
@@ -38,24 +40,30 @@ def write_zone(df: DataFrame, path: str, by: str, types: dict[str, T.DataType],
 
     ``types`` are those that ``schemas.resolved`` finds for the zone and the rows. Where the zone's own
     are narrower, its other months are written anew in them first. A month of ``months`` that has no rows
-    any more is emptied.
+    any more is emptied. The zone keeps a record of its columns, which the next run extends by those of its
+    rows, so the footers of the months before are not read again; a run that dies leaves no record, and the
+    next one reads them all.
     """
-    spark, known = df.sparkSession, zone_schema(df.sparkSession, path, by)
-    rows = widened(df, types, path)
+    spark = df.sparkSession
+    known, groups = zone_schema(spark, path, by), []
     if known is not None:
         groups = zone_groups(spark, path, by)
-        narrow = len(groups) > 1 or any(types.get(f.name.lower(), f.dataType) != f.dataType for f in known)
-        old = read_zone(spark, path, (by,))
+    rows = widened(df, types, path)
+    landed = {name for name in child_folders(spark, path) if name.removeprefix(f"{by}=").replace("_", "-") in months}
+    if landed:
+        brought = {f"{by}={row[0]}" for row in df.select(by).distinct().toLocalIterator()}
+        for name in sorted(landed - brought):
+            delete_folder(spark, f"{path}/{name}")
+    if len(groups) > 1 or any(types.get(f.name.lower(), f.dataType) != f.dataType for f in known or []):
         label = F.replace(F.col(by), F.lit("_"), F.lit("-"))
-        if narrow:
-            others = widened(old.filter(~label.isin(months)), types, path)
-            with temporary(others, "widened") as copy:
-                write_partitions(copy, path, [by])
-        brought = df.select(by).distinct()
-        emptied = old.filter(label.isin(months)).select(by).distinct().join(brought, by, "left_anti")
-        for row in emptied.toLocalIterator():
-            delete_folder(spark, f"{path}/{by}={row[0]}")
+        others = widened(read_zone(spark, path, (by,)).filter(~label.isin(months)), types, path)
+        with temporary(others, "widened") as copy:
+            write_partitions(copy, path, [by])
     write_partitions(rows, path, [by])
+    held = [T.StructField(f.name, types.get(f.name.lower(), f.dataType)) for f in known or []]
+    names = {f.name.lower() for f in held}
+    schema = T.StructType(held + [T.StructField(f.name, f.dataType) for f in rows.schema if f.name.lower() not in names])
+    write_text(spark, f"{path.rstrip('/')}/{RECORD}", schema.json())
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -85,6 +85,28 @@ def touch(spark: SparkSession, path: str) -> None:
     system.create(place, True).close()
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file as text; None where there is none."""
+    system, place = _hadoop(spark, path)
+    if not system.exists(place):
+        return None
+    stream = system.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in place of one of its name."""
+    system, place = _hadoop(spark, path)
+    stream = system.create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below one; none where it does not exist."""
     system, place = _hadoop(spark, path)

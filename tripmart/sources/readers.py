@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import re
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmart.functions import names
 from tripmart.functions.numeric import try_cast
 from tripmart.functions.time import utc_instant
+from tripmart.session import read_text
+from tripmart.sources import footers
 from tripmart.sources.landing import manifest
 
-FOOTERS_AT_A_TIME = 32
 MERGE_CONFLICT = "CANNOT_MERGE_SCHEMAS"
 
 
@@ -43,14 +46,9 @@ def scan_recursive(spark: SparkSession, *folders: str) -> DataFrame:
 
 
 def object_paths(landed: DataFrame) -> list[str]:
-    """Paths of the landed objects in order of their period; a list of names, not of data."""
-    return [row.path for row in landed.select("path", "source_date").orderBy("source_date", "path").toLocalIterator()]
-
-
-def object_schemas(spark: SparkSession, paths: list[str]) -> list[list[T.StructType]]:
-    """Schemas of each object by itself, several if its own files differ. For the drift report only."""
-    with ThreadPool(FOOTERS_AT_A_TIME) as pool:
-        return pool.map(lambda path: [schema for schema, _ in schema_groups(spark, [path])], paths)
+    """Paths of the landed objects in order of their dataset and period; a list of names, not of data."""
+    order = ["dataset", "source_date", "path"]
+    return [row.path for row in landed.select(*order).orderBy(*order).toLocalIterator()]
 
 
 def _agree(a: T.StructType, b: T.StructType) -> bool:
@@ -96,6 +94,53 @@ def _files(spark: SparkSession, path: str) -> list[str]:
 def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
     """Objects grouped so that within a group no column has two types, from all their footers.
 
+    One job reads the footers of all files, however many objects there are and however their schemas alternate. An object
+    whose own files differ is taken apart into these. Files in a store that only Spark can open are merged by Spark,
+    see ``merged_groups``.
+    """
+    found = footers.by_schema(spark, paths) if footers.can_open(paths) else {}
+    if not any(found.values()):
+        return merged_groups(spark, paths)
+    groups: list[tuple[T.StructType, list[str]]] = []
+    group_of: dict[str, int] = {}
+    schemas = {text: T.StructType.fromJson(json.loads(text)) for own in found.values() for text in own}
+
+    def put(text: str, member: str) -> None:
+        # a schema stays in its group, whose columns include its own from then on
+        if text not in group_of:
+            for at, (known, _) in enumerate(groups):
+                if _agree(known, schemas[text]):
+                    group_of[text] = at
+                    break
+            else:
+                group_of[text] = len(groups)
+                groups.append((schemas[text], []))
+        at = group_of[text]
+        if not groups[at][1] or groups[at][1][-1] != member:
+            groups[at] = (_union_schema(groups[at][0], schemas[text]), [*groups[at][1], member])
+        else:
+            groups[at] = (_union_schema(groups[at][0], schemas[text]), groups[at][1])
+
+    for path in paths:
+        own = found[path]
+        together = T.StructType([])
+        for text in own:
+            together = _union_schema(together, schemas[text]) if together is not None and _agree(together, schemas[text]) else None
+            if together is None:
+                break
+        if len(own) > 1 and together is not None:
+            schemas[together.json()] = together
+            put(together.json(), path)
+        elif own:
+            for text, files in own.items():
+                for member in [path] if len(own) == 1 else files:
+                    put(text, member)
+    return groups
+
+
+def merged_groups(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """``schema_groups`` by Spark's own merge of schemas.
+
     Usually that is one group, which Spark's schema merge tells in one job. Where it meets a conflict,
     the list, which is in order of the period, is halved, so the jobs grow with the number of schema
     changes and the logarithm of the number of objects. An object whose own files differ is taken
@@ -110,8 +155,8 @@ def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructT
             raise ValueError(f"the schema of {paths[0]} cannot be read")
         paths = files
     half = len(paths) // 2
-    groups = schema_groups(spark, paths[:half])
-    for schema, members in schema_groups(spark, paths[half:]):
+    groups = merged_groups(spark, paths[:half])
+    for schema, members in merged_groups(spark, paths[half:]):
         for i, (known, others) in enumerate(groups):
             if _agree(known, schema):
                 groups[i] = (_union_schema(known, schema), others + members)
@@ -183,8 +228,36 @@ def read_landed(
     return read_objects(spark, paths, targets)
 
 
+#: A zone's record of its columns, which Spark's readers pass over.
+RECORD = "_schema.json"
+
+
+def recorded_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The one schema that all months of a zone have, as its last writer recorded it; None without a record."""
+    text = read_text(spark, f"{path.rstrip('/')}/{RECORD}")
+    return None if text is None else T.StructType.fromJson(json.loads(text))
+
+
 def zone_groups(spark: SparkSession, path: str, by: str = "source_date") -> list[tuple[T.StructType, list[str]]]:
-    """The folders of a zone grouped by schema, as ``schema_groups`` does with objects."""
+    """The folders of a zone grouped by schema, as ``schema_groups`` does with objects.
+
+    A zone that keeps a record of its schema is one group, and no footer of its history is read.
+    """
+    known = recorded_schema(spark, path)
+    if known is not None:
+        return [(known, [path])]
+    if footers.can_open([path]):
+        own = footers.by_schema(spark, [path])[path]
+        folders = [name for files in own.values() for name in re.findall(r"/(\w+)=", files[0][len(footers.plain_path(path)) :])]
+        together = T.StructType([])
+        for text in own:
+            schema = T.StructType.fromJson(json.loads(text))
+            if not _agree(together, schema):
+                return schema_groups(spark, partition_folders(spark, path, by))
+            together = _union_schema(together, schema)
+        if own:
+            named = T.StructType([T.StructField(name, T.StringType()) for name in dict.fromkeys(folders)])
+            return [(_union_schema(together, named), [path])]
     merged = _merged_schema(spark, [path], recursive=False)
     return [(merged, [path])] if merged is not None else schema_groups(spark, partition_folders(spark, path, by))
 
@@ -223,20 +296,14 @@ def schema_report(spark: SparkSession, root: str) -> DataFrame:
     """Types of every column over time: dataset, column, type, first and last month, objects.
 
     A column with two rows changed its type; one with fewer objects than its dataset is missing
-    from some. Reads the footers of each object by themselves, and no data: a merge of several would
-    hide which of them lack a column.
+    from some. One job reads the footers, and no data.
     """
-    landed = manifest(spark, root)
-    paths = object_paths(landed)
-    rows = [
-        (path, field.name.lower(), field.dataType.simpleString())
-        for path, schemas in zip(paths, object_schemas(spark, paths))
-        for schema in schemas
-        for field in schema
-    ]
-    columns = spark.createDataFrame(sorted(set(rows)), "path string, column_name string, type string")
+    told = footers.footers(spark, footers.files_of(spark, [root]))
+    columns = told.select(names.object_path(F.col("path")).alias("path"), F.explode("columns").alias("c"))
+    columns = columns.select("path", F.lower("c.name").alias("column_name"), F.col("c.type").alias("type")).distinct()
+    name = names.object_name(F.col("path"))
     return (
-        columns.join(landed, "path")
+        columns.select("column_name", "type", names.dataset(name).alias("dataset"), names.source_date(F.col("path")).alias("source_date"))
         .groupBy("dataset", "column_name", "type")
         .agg(
             F.min("source_date").alias("first_month"),
@@ -244,3 +311,18 @@ def schema_report(spark: SparkSession, root: str) -> DataFrame:
             F.count("*").alias("n_objects"),
         )
     )
+
+
+def column_profile(spark: SparkSession, root: str) -> DataFrame:
+    """Per dataset, month and column: type, rows, nulls and files, from the footers alone.
+
+    ``n_nulls`` is null where a file does not tell. A column that an object lacks has no row there.
+    """
+    told = footers.footers(spark, footers.files_of(spark, [root]))
+    path = names.object_path(F.col("path"))
+    columns = told.select(path.alias("path"), "n_rows", F.explode("columns").alias("c"))
+    by = [names.dataset(names.object_name(F.col("path"))).alias("dataset"), names.source_date(F.col("path")).alias("source_date")]
+    found = columns.groupBy(*by, F.lower("c.name").alias("column_name"), F.col("c.type").alias("type")).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("c.n_nulls").alias("told"), F.count_if(F.col("c.n_nulls").isNull()).alias("silent"), F.count("*").alias("n_files"),
+    )
+    return found.withColumn("n_nulls", F.when(F.col("silent") == 0, F.col("told"))).drop("told", "silent")
