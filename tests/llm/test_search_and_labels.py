@@ -164,3 +164,54 @@ def test_toxicity_of_awkward_rows(spark):
     assert toxicity.scored(odd, nobody).filter("predicted = 1").count() == 0
     strange = spark.createDataFrame([(None, 1), (1, None), (2, 7), (3, 1), (3, 1), (10**9, 1)], "doc_id bigint, toxic int")
     assert toxicity.scored(docs, toxicity.train(docs, strange)).count() == docs.count()
+
+
+def test_pairs_are_learnt_whose_terms_tell_nothing_by_themselves():
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(4, 10))) for _ in range(400)]
+    texts, labels = [], []
+    for n in range(4000):
+        # each of the two words stands in half of the texts of either label
+        both = rng.integers(2)
+        pair = [w for w, there in (("wretched", both), ("strangers", both if n % 2 else 1 - both)) if there]
+        texts.append(" ".join([*rng.choice(words, 20), *pair]))
+        labels.append(float(n % 2))
+    of_word = toxicity.Memo(toxicity.word_buckets)
+    learnt = toxicity.fit([toxicity.buckets(t, of_word) for t in texts[:3000]], np.array(labels[:3000]), np.ones(3000))
+    right = [(learnt.score(t) >= 0.5) == bool(y) for t, y in zip(texts[3000:], labels[3000:], strict=True)]
+    assert np.mean(right) >= 0.97
+    alone = toxicity.Model(learnt.bias, learnt.weights, 0 * learnt.factors)
+    assert np.mean([(alone.score(t) >= 0.5) == bool(y) for t, y in zip(texts[3000:], labels[3000:], strict=True)]) < 0.7
+
+
+def test_top_k_counts_an_id_of_many_vectors_once(spark):
+    rng = np.random.default_rng(8)
+    vectors = [(i, [float(x) for x in rng.normal(0, 1, 6)]) for i in range(40)]
+    # ids of up to ten vectors, near the queries, so that the best rows are of few ids
+    vectors += [(i, [float(x) for x in np.array(vectors[(i % 3) * 10][1]) * (1 + n / 50)]) for i in (7, 8, 9, 21, 30) for n in range(10)]
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in vectors]
+    expected = []
+    for query in range(0, 40, 10):
+        best = {}
+        for i, v in whole:
+            for j, own in whole:
+                if j == query and i != query:
+                    score = sum(a * b for a, b in zip(v, own, strict=True))
+                    best[i] = max(best.get(i, score), score)
+        ranked = sorted(best.items(), key=lambda item: (-item[1], item[0]))[:5]
+        expected += [(query, at + 1, i, score) for at, (i, score) in enumerate(ranked)]
+    assert rows(topk_search.top_k(df, F.col("vec_id") % 10 == 0, 5)) == sorted(expected, key=repr)
+
+
+def test_lists_are_not_read_to_their_end():
+    rng = np.random.default_rng(2)
+    middles = rng.normal(0, 1, (20, 32))
+    vectors = np.floor(256 * (middles[np.arange(4000) % 20] + rng.normal(0, 0.2, (4000, 32))))
+    read: list[int] = []
+    found = topk_search.best_of_block(np.arange(4000), vectors, np.arange(-20, 0), np.floor(256 * middles), 5, read)
+    scores = np.floor(256 * middles) @ vectors.T
+    for at in range(20):
+        own = found[found["query_id"] == at - 20]
+        assert own["vec_id"].tolist() == np.lexsort((np.arange(4000), -scores[at]))[:5].tolist()
+    assert len(read) == 20 and sum(read) < 0.75 * 20 * vectors.size

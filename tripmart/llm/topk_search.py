@@ -23,58 +23,68 @@ def quantised(vector: Column, scale: int = SCALE) -> Column:
     return F.when(vector.isNotNull() & (F.size(vector) > 0) & ~bad, whole)
 
 
-def _kth_largest(values: np.ndarray, k: int) -> np.ndarray:
-    if values.shape[1] <= k:
+def _kth_largest(values: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
+    """Of each row the ``k``-th largest value of different ids, whose columns begin at ``first``."""
+    best = np.maximum.reduceat(values, first, axis=1)
+    if best.shape[1] <= k:
         return np.full(len(values), -np.inf)
-    return np.partition(values, -k, axis=1)[:, -k]
+    return np.partition(best, -k, axis=1)[:, -k]
 
 
 def best_of_block(
-    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int
+    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, read: list[int] | None = None
 ) -> pd.DataFrame:
-    """Each query's best ``k`` of a block of candidates, ties to the smaller id.
+    """Each query's best ``k`` ids of a block of candidates, ties to the smaller id.
 
     A component's list holds the block sorted by it; a query reads it from the top if its own
     component is positive, else from the bottom, so contributions come in falling order. What has
     been read of a candidate, and the last value read of each other list, bound its score from above;
-    with the lists' lowest contributions they bound it from below. Reading stops when no more than a
-    few candidates, which no outsider can overtake, are left; their scores are resolved then.
+    with the lists' lowest contributions they bound it from below. The k-th best lower bound of different ids bars
+    all candidates below it; those that no query can use any more are left out of the lists. Reading stops when no more
+    than a few candidates are left, whose scores are resolved then. ``read`` gets the entries read for each query.
     """
+    order = np.argsort(ids, kind="stable")
+    ids, vectors = ids[order], vectors[order]
     n = len(ids)
-    order = np.argsort(vectors, axis=0, kind="stable")
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(n)[:, None], axis=0)
-    ascending = np.take_along_axis(vectors, order, axis=0)
+    by_value = np.argsort(vectors, axis=0, kind="stable")
+    rank = np.empty_like(by_value)
+    np.put_along_axis(rank, by_value, np.arange(n)[:, None], axis=0)
+    ascending = np.take_along_axis(vectors, by_value, axis=0)
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    own = query_ids[:, None] == ids[None, :]
-    found, open_queries = [], np.arange(len(queries))
+    left, left_queries = np.arange(n), np.arange(len(queries))
+    # what has been read of each candidate left, by query
+    known, before, found = np.zeros((len(queries), n)), 0, []
     for share in (*DEPTHS, 1.0):
-        if not len(open_queries):
+        if not len(left_queries) or not len(left):
             break
         depth = max(1, int(np.ceil(n * share)))
-        plus, minus = up[open_queries], down[open_queries]
-        from_top, from_bottom = rank >= n - depth, rank < depth
-        known = plus @ (vectors * from_top).T + minus @ (vectors * from_bottom).T
+        plus, minus, places = up[left_queries], down[left_queries], rank[left]
+        from_top, from_bottom = places >= n - depth, places < depth
+        own = vectors[left]
+        known += plus @ (own * (from_top & (places < n - before))).T + minus @ (own * (from_bottom & (places >= before))).T
+        before = depth
         unread_top, unread_bottom = (~from_top).T.astype(np.float64), (~from_bottom).T.astype(np.float64)
         upper = known + (plus * ascending[n - depth]) @ unread_top + (minus * ascending[depth - 1]) @ unread_bottom
         lower = known + (plus * ascending[0]) @ unread_top + (minus * ascending[-1]) @ unread_bottom
-        lower[own[open_queries]] = upper[own[open_queries]] = -np.inf
-        rivals = upper >= _kth_largest(lower, k)[:, None]
+        self_row = query_ids[left_queries][:, None] == ids[left][None, :]
+        lower[self_row] = upper[self_row] = -np.inf
+        first = np.flatnonzero(np.r_[True, ids[left][1:] != ids[left][:-1]])
+        rivals = (upper >= _kth_largest(lower, first, k)[:, None]) & ~self_row
         done = (rivals.sum(axis=1) <= max(4 * k, n // 50)) | (share == 1.0)
         for at in np.flatnonzero(done):
-            place = np.flatnonzero(rivals[at] & ~own[open_queries[at]])
-            scores = vectors[place] @ queries[open_queries[at]]
-            best = place[np.lexsort((ids[place], -scores))[:k]]
+            place = left[rivals[at]]
+            scores = vectors[place] @ queries[left_queries[at]]
+            best = np.lexsort((ids[place], -scores))
+            # an id counts once, with its best score
+            _, once = np.unique(ids[place][best], return_index=True)
+            best = best[np.sort(once)[:k]]
             found.append(
-                pd.DataFrame(
-                    {
-                        "query_id": query_ids[open_queries[at]],
-                        "vec_id": ids[best],
-                        "score": (vectors[best] @ queries[open_queries[at]]).astype(np.int64),
-                    }
-                )
+                pd.DataFrame({"query_id": query_ids[left_queries[at]], "vec_id": ids[place[best]], "score": scores[best].astype(np.int64)})
             )
-        open_queries = open_queries[~done]
+            if read is not None:
+                read.append(depth * queries.shape[1])
+        wanted = rivals[~done].any(axis=0)
+        known, left, left_queries = known[~done][:, wanted], left[wanted], left_queries[~done]
     return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
 

@@ -20,11 +20,14 @@ PREFIXES = (4, 5)
 #: At most so many rows of each label are learnt from: those with the smallest hash of their id.
 ROWS_PER_LABEL = 5000
 FACTORS = 4
-EPOCHS = 12
-BATCH = 128
-#: Steps of the linear weights and of the factors, and what holds both near zero.
-RATE, FACTOR_RATE = 0.05, 0.02
-DECAY, FACTOR_DECAY = 1e-4, 1e-3
+BATCH = 64
+#: Passes over the sample, and batches that they have together at least.
+EPOCHS, STEPS = 8, 300
+#: Steps of the weights and of the factors, and the spread that factors start with.
+RATE, FACTOR_RATE, SPREAD = 0.2, 0.2, 0.03
+#: A weight stays zero while its summed slopes do not exceed this many times the square root of the documents, as
+#: the sums of chance slopes grow; and what holds weights and factors near zero.
+SPARSITY, DECAY = 0.22, 1.0
 THRESHOLD = 0.3
 
 
@@ -50,6 +53,8 @@ class Model:
     def __init__(self, bias: float, weights: np.ndarray, factors: np.ndarray):
         self.bias, self.weights, self.factors = bias, weights, factors
         self.known = Memo(word_buckets)
+        #: Every bucket has its own place among the weights.
+        self.place = range(len(weights))
 
     def __getstate__(self) -> tuple:
         return self.bias, self.weights, self.factors
@@ -61,52 +66,69 @@ class Model:
         """Chance of label 1 by the terms of the whole text, one by one and in pairs."""
         terms = buckets(text, self.known)
         own = self.factors[terms].astype(np.float64)
-        pairs = 0.5 * (own.sum(axis=0) ** 2 - (own**2).sum(axis=0)).sum()
+        pairs = 0.5 * (own.sum(axis=0) ** 2 - (own**2).sum(axis=0)).sum() / max(len(terms), 1)
         return float(_sigmoid(np.array(self.bias + self.weights[terms].sum(dtype=np.float64) + pairs)))
 
 
+def _solved(slopes: np.ndarray, squares: np.ndarray, rate: float, sparsity: float) -> np.ndarray:
+    """Numbers by the sums of their slopes so far: the minimum of their linear bound with both penalties."""
+    pulled = np.sign(slopes) * np.maximum(np.abs(slopes) - sparsity, 0)
+    return -pulled / ((1 + np.sqrt(squares)) / rate + DECAY)
+
+
+def _sums(place: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by place."""
+    return np.stack([np.bincount(place, values[:, f], minlength=n) for f in range(values.shape[1])], axis=1)
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> Model:
     """Model of the buckets of documents and their labels; ``weights`` restore the labels' shares.
 
     A factorization machine of degree two over all buckets, none left out: a document's value is the sum of its
-    buckets' weights and of the products of the factors of each two of them. Learnt in small batches with
-    a step of its own per number (AdaGrad), which touches only the buckets of the batch.
+    buckets' weights and of the products of the factors of each two of them, by their number. Learnt in small batches
+    that touch their own buckets only, by following the regularised leader: weights that chance
+    explains stay zero by their penalty, not by a choice of buckets beforehand, and factors learn pairs whatever the
+    weights are.
     """
     prior = float((weights * labels).sum() / weights.sum()) if len(labels) else 0.0
     rng = np.random.default_rng(3)
-    bias = float(np.log((prior + 1e-4) / (1 - prior + 1e-4)))
-    w, v = np.zeros(BUCKETS, np.float32), rng.normal(0, 0.01, (BUCKETS, FACTORS)).astype(np.float32)
-    if len(set(labels.tolist())) < 2:
-        return Model(bias, w, 0 * v)
-    seen_w, seen_v, seen_bias = np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32), 0.0
-    share = weights * (len(weights) / weights.sum())
-    used = np.zeros(BUCKETS, bool)
-    for _ in range(EPOCHS):
+    bias, bias_squares = float(np.log((prior + 1e-4) / (1 - prior + 1e-4))), 0.0
+    slopes, squares = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    # slopes that give the factors their start
+    factor_slopes = -rng.normal(0, SPREAD, (BUCKETS, FACTORS)) * (1 / FACTOR_RATE + DECAY)
+    factor_squares, used = np.zeros((BUCKETS, FACTORS)), np.zeros(BUCKETS, bool)
+    sparsity = SPARSITY * np.sqrt(len(rows))
+    share = weights * (len(weights) / weights.sum()) if len(labels) else weights
+    passes = max(EPOCHS, -(-STEPS // max(1, -(-len(rows) // BATCH)))) if len(set(labels.tolist())) == 2 else 0
+    for _ in range(passes):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             batch = order[at : at + BATCH]
-            sizes = [len(rows[i]) for i in batch]
-            owner = np.repeat(np.arange(len(batch)), sizes)
+            sizes = np.array([len(rows[i]) for i in batch])
+            owner, number = np.repeat(np.arange(len(batch)), sizes), np.maximum(sizes, 1)
             touched, term = np.unique(np.concatenate([rows[i] for i in batch]), return_inverse=True)
             used[touched] = True
-            own_w, own_v = w[touched], v[touched]
-            each = own_v[term]
-            sums = np.stack([np.bincount(owner, each[:, f], minlength=len(batch)) for f in range(FACTORS)], axis=1)
-            squares = np.bincount(owner, (each**2).sum(axis=1), minlength=len(batch))
-            value = bias + np.bincount(owner, own_w[term], minlength=len(batch)) + 0.5 * ((sums**2).sum(axis=1) - squares)
+            w = _solved(slopes[touched], squares[touched], RATE, sparsity)
+            v = _solved(factor_slopes[touched], factor_squares[touched], FACTOR_RATE, 0.0)
+            each = v[term]
+            sums = _sums(owner, each, len(batch))
+            own_squares = np.bincount(owner, (each**2).sum(axis=1), minlength=len(batch))
+            value = bias + np.bincount(owner, w[term], minlength=len(batch)) + 0.5 * ((sums**2).sum(axis=1) - own_squares) / number
             error = share[batch] * (_sigmoid(value) - labels[batch])
-            slope_w = np.bincount(term, error[owner], minlength=len(touched)) + DECAY * own_w
-            pull = error[owner][:, None] * (sums[owner] - each)
-            slope_v = np.stack([np.bincount(term, pull[:, f], minlength=len(touched)) for f in range(FACTORS)], axis=1)
-            slope_v += FACTOR_DECAY * own_v
-            seen_w[touched] += slope_w**2
-            seen_v[touched] += slope_v**2
-            seen_bias += error.sum() ** 2
-            w[touched] -= RATE * slope_w / np.sqrt(seen_w[touched] + 1e-8)
-            v[touched] -= FACTOR_RATE * slope_v / np.sqrt(seen_v[touched] + 1e-8)
-            bias -= RATE * error.sum() / np.sqrt(seen_bias + 1e-8)
+            slope = np.bincount(term, error[owner], minlength=len(touched))
+            pull = _sums(term, (error / number)[owner][:, None] * (sums[owner] - each), len(touched))
+            for found, step, total, total_squares, rate in (
+                (w, slope, slopes, squares, RATE), (v, pull, factor_slopes, factor_squares, FACTOR_RATE),
+            ):
+                before = total_squares[touched]
+                total_squares[touched] = before + step**2
+                total[touched] += step - (np.sqrt(before + step**2) - np.sqrt(before)) / rate * found
+            bias_squares += error.sum() ** 2
+            bias -= RATE * error.sum() / (1 + np.sqrt(bias_squares))
     # a bucket that was never met has nothing to say
-    return Model(float(bias), np.where(used, w, 0), np.where(used[:, None], v, 0))
+    w = np.where(used, _solved(slopes, squares, RATE, sparsity), 0).astype(np.float32)
+    v = np.where(used[:, None], _solved(factor_slopes, factor_squares, FACTOR_RATE, 0.0), 0).astype(np.float32)
+    return Model(bias, w, v)
 
 
 def held_out(id_column: Column) -> Column:
