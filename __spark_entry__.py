@@ -23,7 +23,7 @@ from tripmart.functions.time import in_month, month_label, month_start, wall_clo
 from tripmart.operators import averages, catalog, conform, distribution, quality, sinks, trends  # noqa: E402
 from tripmart.plans import etl, reports  # noqa: E402
 from tripmart.roles import TripRoles  # noqa: E402
-from tripmart.session import scratch_dir  # noqa: E402
+from tripmart.session import delete_folder, scratch_dir  # noqa: E402
 from tripmart.sources import landing, links, readers  # noqa: E402
 from tripmart.streaming import incremental  # noqa: E402
 
@@ -455,6 +455,75 @@ def publish_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def publish_promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads with ever wider types: whole numbers, longer ones, fractions. The catalog's types change, no file does."""
+    database, place = _database(spark)
+    rows = conform.conform(readers.read_landed(spark, _landed(spark, sf_dir, "lineitem")), RUN_DATE)
+    table, month = f"{database}.lineitem_trips", F.col("source_date")
+    steps = [
+        (month < "1996-01", {"total_amount": "int", "passenger_count": "int"}),
+        ((month >= "1996-01") & (month < "1998-01"), {"total_amount": "int", "passenger_count": "bigint"}),
+        (month >= "1998-01", {"total_amount": "double", "passenger_count": "bigint"}),
+    ]
+    for months, types in steps:
+        part = rows.filter(months).withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+        catalog.publish(spark, part, table, f"{place}/tables/lineitem_trips")
+    return spark.table(table).groupBy("source_date").agg(
+        F.count("*").alias("n_trips"),
+        F.sum("passenger_count").alias("passengers"),
+        round_half_up(F.sum("total_amount")).alias("amount"),
+    )
+
+
+def publish_gains_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables created without months: later, dated loads partition them, by none or a derived month, and replace months.
+
+    The first rows stay, in no month or in the one of their pickup; half of the later ones come in a first load, and all in a second.
+    """
+    rows = conform.conform(readers.read_landed(spark, _landed(spark, sf_dir, "orders")), RUN_DATE)
+    early, found = F.col("source_date") < "1998-01", []
+    for name, derived in (("no month", None), ("derived month", month_label(month_start(rows, "tpep_pickup_datetime")))):
+        database, place = _database(spark)
+        table, location = f"{database}.orders_trips", f"{place}/tables/orders_trips"
+        catalog.publish(spark, rows.filter(early).drop("source_date"), table, location)
+        for part in (rows.filter(~early & (F.col("trip_id") % 2 == 0)), rows.filter(~early)):
+            catalog.publish(spark, part, table, location, undated_month=derived)
+        counted = spark.table(table).groupBy("source_date").agg(F.count("*").alias("n_trips"), F.sum("trip_id").alias("id_sum"))
+        found.append(counted.select(F.lit(name).alias("undated"), "source_date", "n_trips", "id_sum"))
+    return found[0].unionByName(found[1])
+
+
+def files_republished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A kept listing against the landing zone after some months were corrected, some added and one taken away."""
+    trips, root, kept = _trips(spark, sf_dir, "orders"), scratch_dir(spark, "landing"), scratch_dir(spark, "kept")
+    year = F.year("tpep_pickup_datetime")
+    _land(trips.filter(year < 2000), root, "orders_trips")
+    landing.keep_listing(landing.listing(spark, root), kept)
+    _land(trips.filter((year == 1997) & (F.col("trip_id") % 2 == 0)), root, "orders_trips")
+    _land(trips.filter(year >= 2000), root, "orders_trips")
+    delete_folder(spark, f"{root}/orders_trips/object=orders_trips_1996-03.parquet")
+    found = landing.changes(landing.listing(spark, root), spark.read.parquet(kept))
+    return found.select("dataset", "file_name", "source_date", "change")
+
+
+def republished_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs by a kept listing: the second finds the months of a corrected year and loads them alone."""
+    database, place = _database(spark)
+    trips, root = _trips(spark, sf_dir, "orders"), scratch_dir(spark, "landing")
+    corrected = F.year("tpep_pickup_datetime") == 1997
+    columns = ["trip_id", "VendorID", "tpep_pickup_datetime", "passenger_count", "total_amount", "source_date"]
+    for part in (trips, trips.filter(corrected & (F.col("trip_id") % 2 == 0))):
+        _land(part, root, "orders_trips")
+        etl.run_changes(spark, root, place, database, f"{place}/listing", columns=columns, run_date=RUN_DATE)
+    return _by_month(spark.table(f"{database}.orders_trips"))
+
+
+def column_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and nulls of every column of the drifting months, by their footers, without a scan."""
+    found = readers.column_profile(spark, _land_drifting(spark, sf_dir))
+    return found.select("dataset", "source_date", "column_name", "type", "n_rows", "n_nulls")
+
+
 def _run_by_run(spark: SparkSession, sf_dir: str, load: Callable[[str], object]) -> None:
     """Each schema of the drifting months landed and loaded in a run of its own."""
     for part in _drifting(spark, sf_dir):
@@ -513,16 +582,19 @@ def _link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages[0].unionByName(pages[1])
 
 
-RUN_MONTHS = ["1996-01", "1996-02", "1997-05"]
+def _run_months(spark: SparkSession, sf_dir: str) -> list[str]:
+    """All months that the two tables have; a list of names."""
+    months = [_trips(spark, sf_dir, table).select(month_label(F.trunc("tpep_pickup_datetime", "MM")).alias("month")) for table in ("orders", "lineitem")]
+    return [row.month for row in months[0].union(months[1]).distinct().orderBy("month").toLocalIterator()]
 
 
 def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links, landed files, zones, registered staging and published tables in one job, for some months."""
+    """Links, landed files, zones, registered staging and published tables in one job, for all months."""
     landed, root = _landed(spark, sf_dir, "orders", "lineitem"), scratch_dir(spark, "run")
     staging_db, target_db = (f"tripmart_{root.rsplit('-', 1)[1]}_{part}" for part in ("staging", "target"))
     run = etl.run_all(
         spark, _link_pages(spark, sf_dir), ["page_id"], landed, root, staging_db, target_db,
-        ["Orders Trip Records", "Lineitem Trip Records"], RUN_MONTHS, run_date=RUN_DATE,
+        ["Orders Trip Records", "Lineitem Trip Records"], _run_months(spark, sf_dir), run_date=RUN_DATE,
         columns=["trip_id", "VendorID", "tpep_pickup_datetime", "passenger_count", "total_amount", "source_date"],
     )
     counted = [_by_month(spark.table(t)).withColumn("table_name", F.lit(t.split(".")[1])) for t in run.tables]
@@ -533,7 +605,7 @@ def _fetch_plan(spark: SparkSession, sf_dir: str) -> etl.FetchPlan:
     """The months of both tables are offered, those of orders have landed."""
     landed = landing.manifest(spark, _landed(spark, sf_dir, "orders"))
     categories = ["Orders Trip Records", "Lineitem Trip Records", "No Such Records"]
-    return etl.plan_fetch(_link_pages(spark, sf_dir), ["page_id"], landed, categories, RUN_MONTHS)
+    return etl.plan_fetch(_link_pages(spark, sf_dir), ["page_id"], landed, categories, _run_months(spark, sf_dir))
 
 
 def plan_to_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -691,6 +763,11 @@ QUERIES = [
     publish_append,
     publish_evolving,
     publish_widening,
+    publish_promoted,
+    publish_gains_partition,
+    files_republished,
+    republished_reload,
+    column_footers,
     register_drifting_zone,
     publish_all_drifting,
     etl_month_by_month_drifting,

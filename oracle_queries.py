@@ -81,7 +81,6 @@ FROM lineitem GROUP BY 1"""
 OFFERED = f"""
 (SELECT DISTINCT 'orders_trips' AS dataset, {_month("o_orderdate")} AS month FROM orders
  UNION ALL SELECT DISTINCT 'lineitem_trips', {_month("l_shipdate")} FROM lineitem)"""
-RUN_MONTHS = "('1996-01', '1996-02', '1997-05')"
 
 BOTH_TABLES = f"""
 SELECT *, 'lineitem_trips' AS table_name FROM ({_by_month("lineitem")})
@@ -312,19 +311,39 @@ ORACLES: dict[str, str] = {
         SELECT {_month("l_shipdate")} AS source_date, count(*) AS n_trips, {_round("sum(l_quantity)")} AS passengers,
                {_round("sum(CASE WHEN year(l_shipdate) < 1998 THEN trunc(l_extendedprice) ELSE l_extendedprice END)")} AS amount
         FROM lineitem GROUP BY 1""",
+    "publish_promoted": f"""
+        SELECT {_month("l_shipdate")} AS source_date, count(*) AS n_trips, sum(trunc(l_quantity))::bigint AS passengers,
+               {_round("sum(CASE WHEN year(l_shipdate) < 1998 THEN trunc(l_extendedprice) ELSE l_extendedprice END)")} AS amount
+        FROM lineitem GROUP BY 1""",
+    "publish_gains_partition": f"""
+        SELECT 'no month' AS undated, CASE WHEN year(o_orderdate) < 1998 THEN NULL ELSE {_month("o_orderdate")} END AS source_date,
+               count(*) AS n_trips, sum(o_orderkey)::bigint AS id_sum
+        FROM orders GROUP BY 1, 2
+        UNION ALL
+        SELECT 'derived month', {_month("o_orderdate")}, count(*), sum(o_orderkey)::bigint FROM orders GROUP BY 1, 2""",
+    "files_republished": f"""
+        SELECT 'orders_trips' AS dataset, 'orders_trips_' || month || '.parquet' AS file_name, month AS source_date,
+               CASE WHEN month >= '2000-01' THEN 'new' WHEN month = '1996-03' THEN 'gone' ELSE 'republished' END AS change
+        FROM (SELECT {_month("o_orderdate")} AS month, count(*) FILTER (o_orderkey % 2 = 0) AS n_even FROM orders GROUP BY 1)
+        WHERE month >= '2000-01' OR month = '1996-03' OR (month LIKE '1997-%' AND n_even > 0)""",
+    "republished_reload": _by_month("orders").replace("FROM orders", "FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderkey % 2 = 0"),
+    "column_footers": f"""
+        SELECT 'lineitem_trips' AS dataset, month AS source_date, column_name, type, n_rows, 0::bigint AS n_nulls
+        FROM (SELECT {_month("l_shipdate")} AS month, any_value(year(l_shipdate)) AS year, count(*) AS n_rows FROM lineitem GROUP BY 1)
+        JOIN {DRIFT_COLUMNS} ON year BETWEEN first_year AND last_year""",
     "register_drifting_zone": _drift_sums(),
     "publish_all_drifting": _drift_sums(),
     "etl_month_by_month_drifting": _drift_sums(),
-    "whole_run": f"SELECT * FROM ({BOTH_TABLES}) WHERE source_date IN {RUN_MONTHS}",
+    "whole_run": BOTH_TABLES,
     "plan_to_fetch": f"""
         SELECT dataset, dataset || '_' || month || '.parquet' AS file_name, 'files/' || dataset || '_' || month || '.parquet' AS href
-        FROM {OFFERED} WHERE dataset = 'lineitem_trips' AND month IN {RUN_MONTHS}""",
+        FROM {OFFERED} WHERE dataset = 'lineitem_trips'""",
     "plan_missing": f"""
         SELECT page_id, category, period
         FROM (VALUES (0::bigint, 'Orders Trip Records', 'orders_trips'), (0, 'Lineitem Trip Records', NULL),
                      (0, 'No Such Records', NULL), (1, 'Orders Trip Records', NULL),
                      (1, 'Lineitem Trip Records', 'lineitem_trips'), (1, 'No Such Records', NULL)) t(page_id, category, dataset),
-             (SELECT unnest({RUN_MONTHS.replace("(", "[").replace(")", "]")}) AS period)
+             (SELECT DISTINCT month AS period FROM {OFFERED})
         WHERE NOT EXISTS (SELECT 1 FROM {OFFERED} o WHERE o.dataset = t.dataset AND o.month = period)""",
     "monthly_sql_report": f"""
         SELECT {_month("l_shipdate")} AS month, {_round("avg(trunc(l_quantity)::int)")} AS average_passenger_count

@@ -14,7 +14,7 @@ from tripmart.operators.conform import conform, production_rows
 from tripmart.operators.schemas import resolved
 from tripmart.operators.sinks import write_zone, zone_schema
 from tripmart.roles import CATEGORIES, INTEGER_COLUMNS, MONTHS, PRODUCTION_COLUMNS
-from tripmart.session import materialize, temporary
+from tripmart.session import materialize, path_exists, temporary
 from tripmart.sources import landing, links
 from tripmart.sources.landing import manifest
 from tripmart.sources.readers import EmptySourceError, read_objects, require_rows
@@ -116,6 +116,26 @@ def run_etl(
     return published
 
 
+def run_changes(spark: SparkSession, raw: str, root: str, database: str, kept: str, **options) -> dict[str, list[str]]:
+    """Load and publish the months whose objects are new or were published again since the listing in ``kept``.
+
+    Returns the months by dataset. The listing is kept anew when all have been loaded, so a run that dies
+    is repeated; the first run loads everything. Months whose objects are gone stay as they are.
+    """
+    with temporary(landing.listing(spark, raw), "now") as now:
+        if path_exists(spark, kept):
+            due = landing.changes(now, spark.read.parquet(kept)).filter("change != 'gone'")
+        else:
+            due = now
+        months: dict[str, list[str]] = {}
+        for row in due.select("dataset", "source_date").distinct().orderBy("dataset", "source_date").toLocalIterator():
+            months.setdefault(row.dataset, []).append(row.source_date)
+        for dataset, own in months.items():
+            run_etl(spark, raw, root, database, [dataset], own, **options)
+        landing.keep_listing(now, kept)
+    return months
+
+
 @dataclass(frozen=True)
 class Run:
     """What a whole run had to fetch, what it found no link for, and the tables it published."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions import names
 from tripmart.functions.time import month_bounds, month_label
+from tripmart.session import temporary
 
 
 def _listing_session(spark: SparkSession) -> SparkSession:
@@ -47,6 +48,46 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """``manifest`` with the latest time of change of each object's files, to be kept and compared with a later one."""
+    files = (
+        _listing_session(spark).read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(root)
+        .select(names.object_path(F.col("path")).alias("path"), "length", "modificationTime", F.xxhash64("path", "length", "modificationTime").alias("state"))
+    )
+    name = names.object_name(F.col("path"))
+    found = files.groupBy("path").agg(
+        F.count("*").alias("n_files"),
+        F.sum("length").alias("n_bytes"),
+        F.max("modificationTime").alias("changed_at"),
+        F.bit_xor("state").alias("state"),
+    )
+    return found.select(
+        "path", names.dataset(name).alias("dataset"), name.alias("file_name"), names.source_date(F.col("path")).alias("source_date"),
+        "n_files", "n_bytes", "changed_at", "state",
+    )
+
+
+def keep_listing(found: DataFrame, path: str) -> None:
+    """Keep a listing as a table in place of the one before, which may be what it was compared with."""
+    with temporary(found, "listing") as copy:
+        copy.write.mode("overwrite").parquet(path)
+
+
+def changes(now: DataFrame, kept: DataFrame) -> DataFrame:
+    """Objects that differ from a kept listing: ``new``, ``republished`` under the same name, or ``gone``.
+
+    An object is republished if any of its files has another name, length or time of change.
+    """
+    columns = ["path", "dataset", "file_name", "source_date"]
+    before = kept.select(*[F.col(c).alias(f"kept_{c}") for c in (*columns, "state")])
+    both = now.join(before, F.col("path") == F.col("kept_path"), "full")
+    change = F.when(F.col("kept_path").isNull(), "new").when(F.col("path").isNull(), "gone").when(F.col("state") != F.col("kept_state"), "republished")
+    return both.select(*[F.coalesce(c, f"kept_{c}").alias(c) for c in columns], change.alias("change")).filter("change is not null")
+
+
 def run_grid(categories: DataFrame, first: Column, last: Column) -> DataFrame:
     """Every category in every ``yyyy-MM`` from the first month to the last, given as DATE.
 
