@@ -20,7 +20,7 @@ PREFIXES = (4, 5)
 #: At most so many rows of each label are learnt from: those with the smallest hash of their id.
 ROWS_PER_LABEL = 5000
 FACTORS = 4
-BATCH = 64
+BATCH = 16
 #: Passes over the sample, and batches that they have together at least.
 EPOCHS, STEPS = 8, 300
 #: Steps of the weights and of the factors, and the spread that factors start with.
