@@ -201,3 +201,26 @@ def test_wall_clock_times_and_instants_share_a_column(spark, table):
         instant = spark.sql("SELECT TIMESTAMP '2023-02-05 10:00:00 UTC' AS t, '2023-02' AS source_date")
         catalog.publish(spark, instant, name, place)
     assert rows(spark.table(name).select(F.date_format("t", "yyyy-MM-dd HH"))) == [("2023-01-05 10",), ("2023-02-05 10",)]
+
+
+def test_months_are_written_without_a_sort_of_the_task(spark, folder, monkeypatch):
+    """A task's rows go to files that are open side by side; with more months than that, the rest is sorted."""
+    from pyspark.sql import DataFrameWriter
+
+    from tripmart import session
+    from tripmart.operators import loads, sinks
+
+    seen, rows = [], spark.range(600).selectExpr("id", "cast(id % 6 as string) as source_date").coalesce(1)
+    for name in ("parquet", "save"):
+        plain = getattr(DataFrameWriter, name)
+        monkeypatch.setattr(DataFrameWriter, name, lambda self, *a, plain=plain, **k: (seen.append(spark.conf.get(session.OPEN_FILES, None)), plain(self, *a, **k))[1])
+    before = spark.conf.get(session.OPEN_FILES, None)
+    for open_months in (200, 2):
+        monkeypatch.setattr(session, "OPEN_MONTHS", open_months)
+        sinks.write_partitions(rows, f"{folder}/zone{open_months}", ["source_date"])
+        loads.write_load(rows, f"{folder}/load{open_months}", "parquet")
+        for path in ("zone", "load"):
+            found = spark.read.parquet(f"{folder}/{path}{open_months}")
+            assert {(r[0], r[1]) for r in found.groupBy("source_date").count().collect()} == {(at, 100) for at in range(6)}
+    assert seen == ["200", "200", "2", "2"]
+    assert spark.conf.get(session.OPEN_FILES, None) == before

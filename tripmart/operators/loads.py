@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators.schemas import widened
-from tripmart.session import OVERWRITE_OPTION, child_folders, delete_folder, path_exists, touch
+from tripmart.session import OVERWRITE_OPTION, child_folders, delete_folder, months_side_by_side, path_exists, touch
 
 PARTITION = "source_date"
 LOADS = "-loads/"
@@ -41,7 +41,8 @@ def write_load(rows: DataFrame, folder: str, fmt: str) -> bool:
     if not path_exists(spark, f"{folder}/{FINISHED}"):
         delete_folder(spark, folder)
         writer = rows.write.format(fmt)
-        (writer.partitionBy(PARTITION) if PARTITION in rows.columns else writer).save(folder)
+        with months_side_by_side(spark):
+            (writer.partitionBy(PARTITION) if PARTITION in rows.columns else writer).save(folder)
     if PARTITION in rows.columns:
         return bool(months_of(spark, folder))
     return not spark.read.format(fmt).schema(rows.schema).load(folder).isEmpty()

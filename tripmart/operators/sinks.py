@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators.schemas import widened
-from tripmart.session import OVERWRITE_OPTION, child_folders, delete_folder, temporary, write_text
+from tripmart.session import OVERWRITE_OPTION, child_folders, delete_folder, months_side_by_side, temporary, write_text
 from tripmart.sources.readers import RECORD, read_zone, zone_groups
 
 
@@ -22,7 +22,8 @@ def write_partitions(df: DataFrame, path: str, by: list[str], rebalance: bool =
     # what is recorded of the folder holds again when its writer has told so
     delete_folder(df.sparkSession, f"{path.rstrip('/')}/{RECORD}")
     rows = df.hint("rebalance", *by) if rebalance else df
-    rows.write.mode("overwrite").option(OVERWRITE_OPTION, "dynamic").partitionBy(*by).parquet(path)
+    with months_side_by_side(df.sparkSession):
+        rows.write.mode("overwrite").option(OVERWRITE_OPTION, "dynamic").partitionBy(*by).parquet(path)
 
 
 def zone_schema(spark: SparkSession, path: str, by: str) -> T.StructType | None:
