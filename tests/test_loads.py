@@ -224,3 +224,20 @@ def test_months_are_written_without_a_sort_of_the_task(spark, folder, monkeypatc
             assert {(r[0], r[1]) for r in found.groupBy("source_date").count().collect()} == {(at, 100) for at in range(6)}
     assert seen == ["200", "200", "2", "2"]
     assert spark.conf.get(session.OPEN_FILES, None) == before
+
+
+def test_a_zone_is_widened_by_one_write_of_its_other_months(spark, folder, monkeypatch):
+    from pyspark.sql import types as T
+
+    from tripmart.operators import sinks
+
+    written, plain = [], sinks.write_partitions
+    monkeypatch.setattr(sinks, "write_partitions", lambda df, *a, **k: (written.append(df.inputFiles()), plain(df, *a, **k))[1])
+    first = spark.createDataFrame([(1, "2020-01"), (2, "2020-02")], "n int, source_date string")
+    sinks.write_zone(first, f"{folder}/zone", "source_date", {}, ["2020-01", "2020-02"])
+    later = spark.createDataFrame([(2.5, "2020-02"), (3.5, "2020-03")], "n double, source_date string")
+    sinks.write_zone(later, f"{folder}/zone", "source_date", {"n": T.DoubleType()}, ["2020-02", "2020-03"])
+    # the months of the zone itself are what is read, no copy of them
+    assert [f for f in written[1] if f"{folder}/zone/" not in f] == [] and written[1]
+    found = spark.read.parquet(f"{folder}/zone").selectExpr("n", "cast(source_date as string) as m").collect()
+    assert sorted(r["n"] for r in found) == [1.0, 2.5, 3.5]

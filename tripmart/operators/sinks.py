@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators.schemas import widened
-from tripmart.session import OVERWRITE_OPTION, child_folders, delete_folder, months_side_by_side, temporary, write_text
+from tripmart.session import OVERWRITE_OPTION, child_folders, delete_folder, months_side_by_side, write_text
 from tripmart.sources.readers import RECORD, read_zone, zone_groups
 
 
@@ -58,8 +58,8 @@ def write_zone(df: DataFrame, path: str, by: str, types: dict[str, T.DataType],
     if len(groups) > 1 or any(types.get(f.name.lower(), f.dataType) != f.dataType for f in known or []):
         label = F.replace(F.col(by), F.lit("_"), F.lit("-"))
         others = widened(read_zone(spark, path, (by,)).filter(~label.isin(months)), types, path)
-        with temporary(others, "widened") as copy:
-            write_partitions(copy, path, [by])
+        # a month is replaced when all have been written aside, so they are read where they lie
+        write_partitions(others, path, [by])
     write_partitions(rows, path, [by])
     held = [T.StructField(f.name, types.get(f.name.lower(), f.dataType)) for f in known or []]
     names = {f.name.lower() for f in held}
