@@ -22,7 +22,7 @@ def table(spark, texts: list[tuple]):
 def test_every_query_is_registered():
     names = contract.queries()
     assert "pipeline" in names
-    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 14)]
     assert set(contract.oracle_sql()) <= set(names)
 
 
