@@ -124,3 +124,12 @@ def test_chunks_have_the_ids_of_the_whole(text):
 
 def test_shards_of_nothing(spark, folder):
     assert rows(packed_ids.round_trip(whole(spark).limit(0), f"{folder}/shards", WORDS)) == []
+
+
+def test_chunks_of_ascii_letters_go_to_the_model_as_they_are():
+    ids, library = packed_ids.Ids(WORDS), Tokenizer.from_file(WORDS)
+    ids.symbols = {}
+    text = "Plain letters, HERE and there: ionthe xqzvk A a (No) end."
+    assert np.frombuffer(ids.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    text = "é déjà Ünder <|endoftext|> a<|startoftext|>b café, 1984 İstanbul straße K k"
+    assert np.frombuffer(packed_ids.Ids(WORDS).encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids

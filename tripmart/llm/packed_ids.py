@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import string
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -133,7 +134,12 @@ class Ids:
         self.packed = Memo(self._packed, KEPT_CHUNKS)
 
     def _packed(self, chunk: str) -> bytes:
-        if "<|" in chunk or max(chunk) >= "\u0100":
+        if chunk.isascii() and chunk.isalpha():
+            if (low := chunk.lower()) != chunk:
+                return self.packed[low]
+            # such letters are their own symbols
+            ids = [token.id for token in self.model.tokenize(chunk)]
+        elif "<|" in chunk or (not chunk.isascii() and max(chunk) >= "\u0100"):
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
         elif (low := chunk.lower()) != chunk:
             return self.packed[low]
@@ -144,7 +150,7 @@ class Ids:
             ids = [token.id for token in self.model.tokenize("".join(map(self.symbols.__getitem__, chunk.encode())))]
         else:
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
