@@ -133,3 +133,16 @@ def test_chunks_of_ascii_letters_go_to_the_model_as_they_are():
     assert np.frombuffer(ids.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     text = "é déjà Ünder <|endoftext|> a<|startoftext|>b café, 1984 İstanbul straße K k"
     assert np.frombuffer(packed_ids.Ids(WORDS).encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_word_is_encoded_once_whatever_its_case_and_the_signs_beside_it(monkeypatch):
+    ids, library, asked = packed_ids.Ids(WORDS), Tokenizer.from_file(WORDS), []
+    compute = ids.packed.compute
+    monkeypatch.setattr(ids.packed, "compute", lambda chunk: asked.append(chunk) or compute(chunk))
+    text = "Zwölfton zwölfton, ZWÖLFTON; (zwölfton) zwölfton&&& \"zwölfton\"? zwölfton2024 it's 'twas',don't <|x|"
+    plain = text.removesuffix(" <|x|")
+    for one in (plain, f"{plain} — ж", text):
+        asked.clear()
+        assert np.frombuffer(ids.encode(one), "<u4").tolist() == library.encode(one, add_special_tokens=False).ids
+        if one == plain:
+            assert [chunk for chunk in asked if "zwölfton" in chunk.lower()] == ["zwölfton"]
